@@ -322,6 +322,11 @@ def mapping_join(spark, sf_dir):
     return sc.normalize_job_title(people, mapping=mapping)
 
 
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    """Interpolated values to six decimals: the engines round the last bit apart."""
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
 # --- Quality ------------------------------------------------------------------
 
 
@@ -351,16 +356,18 @@ def range_report_custom(spark, sf_dir):
 
 
 def winsorize_column(spark, sf_dir):
-    return sc.winsorize(
+    capped = sc.winsorize(
         dirty_salaries(spark, sf_dir, "row_id", "salary"), cols=["salary"]
     )
+    return _rounded(capped, "salary")
 
 
 def winsorize_table(spark, sf_dir):
-    return sc.winsorize(
-        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", *NUMERIC_LINE),
-        0.1, 0.9, exclude=["l_orderkey"],
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_returnflag", *NUMERIC_LINE
     )
+    capped = sc.winsorize(lines, 0.1, 0.9, exclude=["l_orderkey"])
+    return _rounded(capped, *NUMERIC_LINE)
 
 
 # --- Imputation ---------------------------------------------------------------
@@ -440,14 +447,16 @@ def pipe_light_clean(spark, sf_dir):
 
 
 def pipe_strict_clean(spark, sf_dir):
-    return sc.pipeline(
+    cleaned = sc.pipeline(
         dirty_salaries(spark, sf_dir, *STRICT_COLUMNS), "strict_clean",
         dedup_by=["salary"],
     )
+    return _rounded(cleaned, "row_id", "salary", "raw_amount")
 
 
 def pipe_ml_ready(spark, sf_dir):
-    return sc.pipeline(dirty_salaries(spark, sf_dir, *ML_COLUMNS), "ml_ready")
+    cleaned = sc.pipeline(dirty_salaries(spark, sf_dir, *ML_COLUMNS), "ml_ready")
+    return _rounded(cleaned, "row_id", "salary", "salary_in_usd")
 
 
 def pipe_currency_focus(spark, sf_dir):
@@ -569,6 +578,11 @@ def _clamp_sql(column: str, low: float, high: float, source: str) -> str:
         (select quantile_cont({value}, {low}) from {source})) end"""
 
 
+def _rounded_sql(sql: str, *columns: str) -> str:
+    listed = ", ".join(f"round({c}, 6) as {c}" for c in columns)
+    return f"select * replace ({listed}) from ({sql}) rounded"
+
+
 def _mode_sql(column: str, source: str) -> str:
     return f"""(select {column} from {source} where {column} is not null
         group by {column} order by count(*) desc, {column} limit 1)"""
@@ -711,11 +725,17 @@ def oracle_sql() -> dict[str, str]:
             union all {check("l_discount", "l_discount < 0.05", "lineitem")}
             union all {check("l_returnflag", "l_returnflag in ('A', 'N', 'R')", "lineitem")}
             union all {check("l_extendedprice", "l_extendedprice > 0", "lineitem")}""",
-        "winsorize_column": f"""with d as ({dirty_sql("row_id", "salary")})
+        "winsorize_column": _rounded_sql(
+            f"""with d as ({dirty_sql("row_id", "salary")})
             select row_id, {_clamp_sql("salary", 0.05, 0.95, "d")} as salary from d""",
-        "winsorize_table": f"""select l_orderkey, l_returnflag, {", ".join(
+            "salary",
+        ),
+        "winsorize_table": _rounded_sql(
+            f"""select l_orderkey, l_returnflag, {", ".join(
             f"{_clamp_sql(c, 0.1, 0.9, 'lineitem')} as {c}" for c in NUMERIC_LINE)}
             from lineitem""",
+            *NUMERIC_LINE,
+        ),
         "impute_median": f"""with d as ({dirty_sql("row_id", "salary", "remote_ratio")})
             select row_id, coalesce(salary, (select median(salary) from d)) as salary,
             cast(coalesce(remote_ratio, (select median(remote_ratio) from d)) as double)
@@ -744,7 +764,8 @@ def oracle_sql() -> dict[str, str]:
         "pipe_minimal": f"""select row_id, job_title, {as_bigint} as raw_amount
             from ({dirty_sql("row_id", "job_title", "raw_amount")}) d""",
         "pipe_light_clean": light,
-        "pipe_strict_clean": f"""with m as (select row_id, salary, salary_currency,
+        "pipe_strict_clean": _rounded_sql(
+            f"""with m as (select row_id, salary, salary_currency,
                 is_lead, {as_bigint} as raw_amount
                 from ({dirty_sql(*STRICT_COLUMNS)}) x),
             d as (select * from m qualify count(*) over (partition by salary) = 1),
@@ -756,7 +777,10 @@ def oracle_sql() -> dict[str, str]:
                 coalesce(is_lead, {_majority_sql("is_lead", "w")}) as is_lead,
                 coalesce(raw_amount, (select median(raw_amount) from w)) as raw_amount
             from w""",
-        "pipe_ml_ready": f"""with d as ({dirty_sql(*ML_COLUMNS)}),
+            "row_id", "salary", "raw_amount",
+        ),
+        "pipe_ml_ready": _rounded_sql(
+            f"""with d as ({dirty_sql(*ML_COLUMNS)}),
             w as (select work_year, employment_type, job_title, salary_currency,
                 company_size, is_lead, country, {ml_clamped} from d),
             i as (select work_year, employment_type, job_title,
@@ -777,6 +801,8 @@ def oracle_sql() -> dict[str, str]:
             left join {COUNTRIES.replace(" as k(", " as k1(")} on country = k1.country_key
             left join {COUNTRIES.replace(" as k(", " as k2(")}
                 on upper(country) = k2.country_key""",
+            "row_id", "salary", "salary_in_usd",
+        ),
         "pipe_currency_focus": f"""select row_id, work_year, salary_currency, salary,
             {as_bigint} as raw_amount, salary * rate as salary_in_usd
             from ({dirty_sql(*FX_COLUMNS)}) d left join {RATES}

@@ -7,6 +7,8 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .columns import text_literal
+
 # The characters stripped from both ends of a text value
 # (ASCII white space, NEL and the Unicode space separators).
 BLANKS = (
@@ -31,6 +33,18 @@ def parse_number(text: Column) -> Column:
     return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
+def stripped_sql(text: str) -> str:
+    """:func:`strip_blanks` spelled in SQL."""
+    return f"trim(BOTH {text_literal(BLANKS)} FROM {text})"
+
+
+def number_sql(text: str) -> str:
+    """:func:`parse_number` spelled in SQL."""
+    return (
+        f"CASE WHEN {text} RLIKE r'{NUMBER_PATTERN}' THEN try_cast({text} AS DOUBLE) END"
+    )
+
+
 def snake_case(text: Column) -> Column:
     """The column-name rules of ``standardize_colnames`` applied to values."""
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", "_"), F.lit("_"))

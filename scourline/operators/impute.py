@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col
+from ..functions.columns import col, quoted
+from ..functions.columns import cols as columns_of
 from ..functions.levels import is_categorical, is_ordered, level_ordinal, levels_of
 from ..functions.levels import with_levels
 from .quantiles import exact_quantiles
@@ -161,14 +162,14 @@ def _fills(df: DataFrame, methods: dict) -> dict:
         return fills
     stats = []
     for i, name in enumerate(searched):
-        value = col(name)
-        stats.append(F.count_if(value.isNull()).alias(f"nulls{i}"))
-        stats.append(F.count(value).alias(f"seen{i}"))
+        value = quoted(name)
+        stats.append(f"count_if({value} IS NULL) AS nulls{i}")
+        stats.append(f"count({value}) AS seen{i}")
         if isinstance(methods[name], NumMean):
-            stats.append(F.avg(value.cast("double")).alias(f"mean{i}"))
+            stats.append(f"avg(CAST({value} AS DOUBLE)) AS mean{i}")
         elif isinstance(methods[name], BoolMajority):
-            stats.append(F.count_if(value).alias(f"true{i}"))
-    row = df.agg(*stats).first()
+            stats.append(f"count_if({value}) AS true{i}")
+    row = df.selectExpr(*stats).first()
     medians, modes = [], []
     for i, name in enumerate(searched):
         seen, method = row[f"seen{i}"], methods[name]
@@ -214,8 +215,8 @@ def _modes(df: DataFrame, names: Sequence[str]) -> dict[str, str]:
             ordinal = F.coalesce(level_ordinal(F.col("value"), levels), F.lit(0))
             place = F.when(F.col("column") == name, ordinal).otherwise(place)
     counted = (
-        df.select(*[col(n) for n in names])
-        .unpivot([], [col(n) for n in names], "column", "value")
+        df.select(*columns_of(names))
+        .unpivot([], columns_of(names), "column", "value")
         .where(F.col("value").isNotNull())
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -229,7 +230,7 @@ def _modes(df: DataFrame, names: Sequence[str]) -> dict[str, str]:
 
 
 def _null_counts(df: DataFrame, names: Sequence[str], out: str) -> DataFrame:
-    counted = df.agg(
-        *[F.count_if(col(n).isNull()).alias(n) for n in names]
+    counted = df.selectExpr(
+        *[f"count_if({n} IS NULL) AS {n}" for n in map(quoted, names)]
     )
-    return counted.unpivot([], [col(n) for n in names], "column", out)
+    return counted.unpivot([], columns_of(names), "column", out)

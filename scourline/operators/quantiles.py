@@ -23,13 +23,14 @@ from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col
+from ..functions.columns import double_literal, quoted
 
 _LUCK = "luck"
+_SAMPLE = 10_000
 # Cuts at these many standard errors of the sample around the wanted rank.
 _SPREAD = (-5.0, -1.5, -0.3, 0.3, 1.5, 5.0)
 
@@ -79,15 +80,14 @@ def exact_quantiles(
     # Short names keep the many generated counters readable and free of quoting.
     short = {name: f"c{i}" for i, name in enumerate(names)}
     wanted = {short[name]: list(ps) for name, ps in probabilities.items()}
-    numbers = [df.select(col(n)).schema[0] for n in names]
-    values = df.select(
-        *[_finite_or_infinite(f).alias(short[f.name]) for f in numbers],
-        *[
-            F.isnan(col(f.name)).alias(f"nan_{short[f.name]}")
-            for f in numbers
-            if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-        ],
-    )
+    columns = []
+    for name in names:
+        value = f"CAST({quoted(name)} AS DOUBLE)"
+        if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            columns.append(f"isnan({quoted(name)}) AS nan_{short[name]}")
+            value = f"CASE WHEN NOT isnan({quoted(name)}) THEN {value} END"
+        columns.append(f"{value} AS {short[name]}")
+    values = df.selectExpr(*columns)
     rows = values.count()
     if rows <= settle:
         found = _sorted_quantiles(values, wanted, rows)
@@ -96,15 +96,8 @@ def exact_quantiles(
     return {name: found[short[name]] for name in names}
 
 
-def _finite_or_infinite(f: T.StructField) -> Column:
-    value = col(f.name).cast("double")
-    if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-        value = F.when(~F.isnan(value), value)
-    return value
-
-
 def _closed_in_quantiles(values, wanted, rows, settle, seed) -> dict[str, Quantiles]:
-    cuts = _first_cuts(values, wanted, settle / rows, seed)
+    cuts = _first_cuts(values, wanted, rows, seed)
     counts, found = _count(values, cuts, list(wanted), rows)
     targets: dict[tuple[str, int], _Target] = {}
     for column, ps in wanted.items():
@@ -120,7 +113,7 @@ def _closed_in_quantiles(values, wanted, rows, settle, seed) -> dict[str, Quanti
         if not open_targets:
             break
         seed += 1
-        cuts = _next_cuts(values, open_targets, settle, seed)
+        cuts = _next_cuts(values, open_targets, seed)
         counts, _ = _count(values, cuts, [], rows)
         for target in open_targets:
             _locate(target, counts[target.column])
@@ -152,87 +145,79 @@ def _interpolate(n: int, p: float, found: list[float]) -> float:
     return low + part * (high - low)
 
 
-def _nan_counters(values: DataFrame) -> list[Column]:
-    return [
-        F.count_if(F.col(c)).alias(c) for c in values.columns if c.startswith("nan_")
-    ]
+def _nan_counters(values: DataFrame) -> list[str]:
+    return [f"count_if({c}) AS {c}" for c in values.columns if c.startswith("nan_")]
+
+
+def _sorted(chosen: str, column: str, picks: str) -> str:
+    """Sort the chosen values of a column once, as ``a``, and evaluate ``picks``.
+
+    The lambda keeps the sorted array from being spelled out, and so sorted again,
+    for every pick.
+    """
+    values = f"collect_list(CASE WHEN {chosen} THEN {column} END)"
+    return f"transform(array(sort_array({values})), a -> {picks})[0]"
+
+
+def _array(items) -> str:
+    return f"array({', '.join(items)})"
 
 
 def _sorted_quantiles(values, wanted, rows) -> dict[str, Quantiles]:
     """A table of at most ``settle`` rows is sorted as it is."""
-    arrays = values.agg(
-        *[F.sort_array(F.collect_list(F.col(c))).alias(c) for c in wanted],
-        *_nan_counters(values),
-    )
-    picks = [F.col(c) for c in arrays.columns if c.startswith("nan_")]
+    aggregates = _nan_counters(values)
     for column, ps in wanted.items():
-        picks.append(F.size(column).alias(f"n_{column}"))
-        for j, p in enumerate(ps):
-            position = (F.size(column) - 1) * F.lit(float(p))
-            for name, index in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-                pick = F.get(F.col(column), index.cast("int"))
-                picks.append(pick.alias(f"{name}{j}_{column}"))
-    row = arrays.select(*picks).first().asDict()
+        shares = _array(map(double_literal, ps))
+        neighbours = f"""flatten(transform({shares}, p -> array(
+            get(a, int(floor((size(a) - 1) * p))), get(a, int(ceil((size(a) - 1) * p))))))"""
+        aggregates.append(f"{_sorted('true', column, neighbours)} AS {column}")
+        aggregates.append(f"count({column}) AS n_{column}")
+    row = values.selectExpr(*aggregates).first().asDict()
     result = {}
     for column, ps in wanted.items():
-        n = row[f"n_{column}"]
+        n, found = row[f"n_{column}"], row[column]
         result[column] = Quantiles(n, row.get(f"nan_{column}", 0), rows)
         if n:
             result[column].values = [
-                _interpolate(n, p, [row[f"lo{j}_{column}"], row[f"hi{j}_{column}"]])
-                for j, p in enumerate(ps)
+                _interpolate(n, p, found[2 * j : 2 * j + 2]) for j, p in enumerate(ps)
             ]
     return result
 
 
-def _first_cuts(values, wanted, fraction, seed) -> dict[str, list[float]]:
+def _first_cuts(values, wanted, rows, seed) -> dict[str, list[float]]:
     requests = [
-        (c, F.col(_LUCK) < fraction, [F.lit(float(p)) for p in ps])
-        for c, ps in wanted.items()
+        (column, f"{_LUCK} < {double_literal(_SAMPLE / rows)}", ps)
+        for column, ps in wanted.items()
     ]
-    return _sampled_cuts(values.withColumn(_LUCK, F.rand(seed)), requests)
+    return _sampled_cuts(values, requests, seed)
 
 
-def _next_cuts(values, targets, settle, seed) -> dict[str, list[float]]:
+def _next_cuts(values, targets, seed) -> dict[str, list[float]]:
     brackets = defaultdict(list)
     for t in targets:
         brackets[t.column, t.low, t.high, t.below, t.inside].append(t.rank)
-    requests = []
-    for (column, low, high, below, inside), ranks in brackets.items():
-        chosen = _between(F.col(column), low, high) & (
-            F.col(_LUCK) < settle / inside
+    requests = [
+        (
+            column,
+            f"{_between(column, low, high)} AND {_LUCK} < {double_literal(_SAMPLE / inside)}",
+            [(rank - below) / inside for rank in ranks],
         )
-        shares = [F.lit((rank - below) / inside) for rank in ranks]
-        requests.append((column, chosen, shares))
-    return _sampled_cuts(values.withColumn(_LUCK, F.rand(seed)), requests)
-
-
-def _sampled_cuts(values, requests) -> dict[str, list[float]]:
-    """Sample values around the wanted shares; each sample is at most about
-    ``settle`` values, and only the cuts leave the executors."""
-    samples = values.agg(
-        *[
-            F.sort_array(F.collect_list(F.when(chosen, F.col(column)))).alias(f"s{i}")
-            for i, (column, chosen, _) in enumerate(requests)
-        ]
-    )
-    picks = []
-    for i, (_, _, shares) in enumerate(requests):
-        sample = F.col(f"s{i}")
-        m = F.size(sample)
-        indexes = [
-            F.greatest(
-                F.lit(0),
-                F.least(
-                    m - 1,
-                    F.floor(m * share + z * F.sqrt(m * share * (1 - share) + 1)).cast("int"),
-                ),
-            )
-            for share in shares
-            for z in _SPREAD
-        ]
-        picks.append(F.array(*[F.get(sample, ix) for ix in indexes]).alias(f"s{i}"))
-    row = samples.select(*picks).first()
+        for (column, low, high, below, inside), ranks in brackets.items()
+    ]
+    return _sampled_cuts(values, requests, seed)
+
+
+def _sampled_cuts(values, requests, seed) -> dict[str, list[float]]:
+    """Sample about ``_SAMPLE`` values each, and take the values of the sample
+    around the wanted shares as cuts; only these leave the executors."""
+    spread = _array(map(double_literal, _SPREAD))
+    aggregates = []
+    for i, (column, chosen, shares) in enumerate(requests):
+        around = f"""flatten(transform({_array(map(double_literal, shares))}, s ->
+            transform({spread}, z -> get(a, greatest(0, least(size(a) - 1, int(floor(
+                size(a) * s + z * sqrt(size(a) * s * (1 - s) + 1)))))))))"""
+        aggregates.append(f"{_sorted(chosen, column, around)} AS s{i}")
+    row = values.withColumn(_LUCK, F.rand(seed)).selectExpr(*aggregates).first()
     cuts = defaultdict(set)
     for i, (column, _, _) in enumerate(requests):
         cuts[column].update(v for v in row[f"s{i}"] if v is not None)
@@ -242,15 +227,15 @@ def _sampled_cuts(values, requests) -> dict[str, list[float]]:
 def _count(values, cuts, columns, rows):
     """Exact counts ``(cut, values under it, values under or at it)`` per column,
     and the totals of ``columns``."""
-    counters = [F.count(F.lit(1)).alias("rows")]
+    counters = ["count(1) AS rows"]
     if columns:
         counters += _nan_counters(values)
-        counters += [F.count(F.col(c)).alias(f"n_{c}") for c in columns]
+        counters += [f"count({c}) AS n_{c}" for c in columns]
     for column, found in cuts.items():
-        for i, cut in enumerate(found):
-            counters.append(F.count_if(F.col(column) < cut).alias(f"lt{i}_{column}"))
-            counters.append(F.count_if(F.col(column) <= cut).alias(f"le{i}_{column}"))
-    row = values.agg(*counters).first().asDict()
+        for i, cut in enumerate(map(double_literal, found)):
+            counters.append(f"count_if({column} < {cut}) AS lt{i}_{column}")
+            counters.append(f"count_if({column} <= {cut}) AS le{i}_{column}")
+    row = values.selectExpr(*counters).first().asDict()
     counted = {
         column: [
             (cut, row[f"lt{i}_{column}"], row[f"le{i}_{column}"])
@@ -290,27 +275,22 @@ def _settle(values, targets) -> None:
         brackets[t.column, t.low, t.high].append(t)
     if not brackets:
         return
-    lists = [
-        F.sort_array(
-            F.collect_list(F.when(_between(F.col(c), low, high), F.col(c)))
-        ).alias(f"b{i}")
-        for i, (c, low, high) in enumerate(brackets)
-    ]
-    picks = [
-        F.get(F.col(f"b{i}"), F.lit(t.rank - t.below)).alias(f"v{i}_{j}")
-        for i, group in enumerate(brackets.values())
-        for j, t in enumerate(group)
-    ]
-    row = values.agg(*lists).select(*picks).first()
+
+    aggregates = []
+    for i, ((column, low, high), group) in enumerate(brackets.items()):
+        picks = _array(f"get(a, {t.rank - t.below})" for t in group)
+        inside = _between(column, low, high)
+        aggregates.append(f"{_sorted(inside, column, picks)} AS b{i}")
+    row = values.selectExpr(*aggregates).first()
     for i, group in enumerate(brackets.values()):
-        for j, t in enumerate(group):
-            t.value = row[f"v{i}_{j}"]
+        for t, value in zip(group, row[f"b{i}"]):
+            t.value = value
 
 
-def _between(value: Column, low: float | None, high: float | None) -> Column:
-    inside = value.isNotNull()
+def _between(value: str, low: float | None, high: float | None) -> str:
+    conditions = ["true"]
     if low is not None:
-        inside = inside & (value > low)
+        conditions.append(f"{value} > {double_literal(low)}")
     if high is not None:
-        inside = inside & (value < high)
-    return inside
+        conditions.append(f"{value} < {double_literal(high)}")
+    return " AND ".join(conditions)

@@ -16,13 +16,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col
+from ..functions.columns import col, cols, quoted
 from ..functions.levels import is_categorical, with_levels
-from ..functions.text import parse_number, strip_blanks
+from ..functions.text import number_sql, stripped_sql
 
 _WORD = 64
 _WORDS_MAX = 16
@@ -56,18 +56,17 @@ def enforce_types(
     )
     columns = []
     for name in df.columns:
-        text = strip_blanks(col(name))
+        text = stripped_sql(quoted(name))
         kind = kinds.get(name, "unchanged")
-        if kind == "bigint":
-            columns.append(parse_number(text).cast("bigint").alias(name))
-        elif kind == "double":
-            columns.append(parse_number(text).alias(name))
+        if kind in ("bigint", "double"):
+            number = F.expr(f"CAST({number_sql(text)} AS {kind})")
+            columns.append(number.alias(name))
         elif name in levels:
-            columns.append(with_levels(text, name, levels[name]))
+            columns.append(with_levels(F.expr(text), name, levels[name]))
         elif kind == "unchanged":
             columns.append(col(name))
         else:
-            columns.append(text.alias(name))
+            columns.append(F.expr(text).alias(name))
     return df.select(*columns)
 
 
@@ -85,7 +84,7 @@ def type_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return values.groupBy("column").agg(
         F.coalesce(F.sum(F.when(valid, F.col("n"))), F.lit(0)).alias("n_valid"),
         F.coalesce(
-            F.sum(F.when(parse_number(F.col("value")).isNotNull(), F.col("n"))),
+            F.expr(f"sum(CASE WHEN {number_sql('value')} IS NOT NULL THEN n END)"),
             F.lit(0),
         ).alias("n_numeric"),
         F.count_if(valid).alias("n_unique"),
@@ -114,33 +113,34 @@ def _stringified(df: DataFrame) -> DataFrame:
 
 def _stacked(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Stripped values of several columns as ``(column, value)`` rows."""
-    stripped = df.select(*[strip_blanks(col(n)).alias(n) for n in names])
-    return stripped.unpivot([], [col(n) for n in names], "column", "value")
+    stripped = df.selectExpr(
+        *[f"{stripped_sql(quoted(n))} AS {quoted(n)}" for n in names]
+    )
+    return stripped.unpivot([], cols(names), "column", "value")
 
 
 def _kinds(df, names, num_threshold, max_factor_levels) -> dict[str, str]:
     words = min(_WORDS_MAX, max(1, -(-4 * max_factor_levels // _WORD)))
-    prepared = df.select(
-        *[strip_blanks(col(n)).alias(f"t{i}") for i, n in enumerate(names)]
+    prepared = df.selectExpr(
+        *[f"{stripped_sql(quoted(n))} AS t{i}" for i, n in enumerate(names)]
     )
-    prepared = prepared.select(
-        "*", *[parse_number(F.col(f"t{i}")).alias(f"v{i}") for i in range(len(names))]
+    prepared = prepared.selectExpr(
+        "*",
+        *[f"{number_sql(f't{i}')} AS v{i}" for i in range(len(names))],
+        *[f"pmod(xxhash64(t{i}), {_WORD * words}) AS h{i}" for i in range(len(names))],
     )
     stats = []
     for i in range(len(names)):
-        text, number = F.col(f"t{i}"), F.col(f"v{i}")
-        whole = (number == F.floor(number)) & (F.abs(number) < F.lit(2.0**63))
-        bucket = F.pmod(F.xxhash64(text), F.lit(_WORD * words))
-        stats.append(F.count_if(text != "").alias(f"valid{i}"))
-        stats.append(F.count(number).alias(f"numeric{i}"))
-        stats.append(F.bool_and(whole).alias(f"whole{i}"))
+        stats.append(f"count_if(t{i} <> '') AS valid{i}")
+        stats.append(f"count(v{i}) AS numeric{i}")
+        stats.append(
+            f"bool_and(v{i} = floor(v{i}) AND abs(v{i}) < double('{2.0**63}')) AS whole{i}"
+        )
         for w in range(words):
-            here = (text != "") & (F.floor(bucket / _WORD) == w)
-            bit = F.call_function(
-                "shiftleft", F.lit(1).cast("bigint"), F.pmod(bucket, F.lit(_WORD)).cast("int")
-            )
-            stats.append(F.bit_or(F.when(here, bit)).alias(f"seen{i}_{w}"))
-    row = prepared.agg(*stats).first()
+            here = f"t{i} <> '' AND h{i} DIV {_WORD} = {w}"
+            bit = f"shiftleft(1L, int(h{i} % {_WORD}))"
+            stats.append(f"bit_or(CASE WHEN {here} THEN {bit} END) AS seen{i}_{w}")
+    row = prepared.selectExpr(*stats).first()
     kinds = {}
     for i, name in enumerate(names):
         valid, numeric = row[f"valid{i}"], row[f"numeric{i}"]

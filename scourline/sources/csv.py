@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col
-from ..functions.text import parse_number
+from ..functions.columns import col, quoted, text_literal
+from ..functions.text import number_sql
 
 _INTEGER = r"^[+-]?\d+$"
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
@@ -137,34 +137,37 @@ def infer_csv_types(df: DataFrame) -> DataFrame:
     names = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
     if not names:
         return df
-    aliased = df.select(*[col(n).alias(f"c{i}") for i, n in enumerate(names)])
     checks = []
-    for i in range(len(names)):
-        value = F.col(f"c{i}")
+    for i, name in enumerate(names):
+        value = quoted(name)
         for kind, parsed in _candidates(value).items():
-            fits = F.bool_and(F.when(value.isNotNull(), parsed.isNotNull()))
-            checks.append(fits.alias(f"{kind}_{i}"))
-    found = aliased.agg(*checks).first()
+            fits = f"CASE WHEN {value} IS NOT NULL THEN {parsed} IS NOT NULL END"
+            checks.append(f"bool_and({fits}) AS {kind}_{i}")
+    found = df.selectExpr(*checks).first()
     columns = []
     for field in df.schema:
-        value = col(field.name)
+        value = quoted(field.name)
         if field.name in names:
             i = names.index(field.name)
             for kind, parsed in _candidates(value).items():
                 if found[f"{kind}_{i}"]:
                     value = parsed
                     break
-        columns.append(value.alias(field.name))
-    return df.select(*columns)
+        columns.append(f"{value} AS {quoted(field.name)}")
+    return df.selectExpr(*columns)
 
 
-def _candidates(value: Column) -> dict[str, Column]:
-    def guarded(pattern: str, kind: str) -> Column:
-        return F.when(value.rlike(pattern), value.try_cast(kind))
+def _candidates(value: str) -> dict[str, str]:
+    """How each type is parsed, null where a value does not have it."""
+
+    def guarded(pattern: str, kind: str) -> str:
+        return (
+            f"CASE WHEN {value} RLIKE r'{pattern}' THEN try_cast({value} AS {kind}) END"
+        )
 
     return {
         "bigint": guarded(_INTEGER, "bigint"),
-        "double": parse_number(value),
+        "double": number_sql(value),
         "boolean": guarded("^(?i)(true|false)$", "boolean"),
         "date": guarded(_DATE, "date"),
         "timestamp": guarded(_TIMESTAMP, "timestamp"),
@@ -174,10 +177,11 @@ def _candidates(value: Column) -> dict[str, Column]:
 def _typed(raw: DataFrame, missing_strings, schema, infer: bool) -> DataFrame:
     markers = [m for m in missing_strings if m != ""]
     if markers:
-        raw = raw.select(
+        listed = ", ".join(map(text_literal, markers))
+        raw = raw.selectExpr(
             *[
-                F.when(~col(n).isin(markers), col(n)).alias(n)
-                for n in raw.columns
+                f"CASE WHEN {n} NOT IN ({listed}) THEN {n} END AS {n}"
+                for n in map(quoted, raw.columns)
             ]
         )
     if schema is not None:
