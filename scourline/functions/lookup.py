@@ -13,23 +13,30 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .columns import col, cols
+from .columns import col, cols, quoted
 
 MAP_KEYS_MAX = 16
-# A mapping given as a DataFrame is broadcast only when it was counted and has
-# at most this many rows; a larger one goes through Spark's own join choice.
+# A table given by the caller is broadcast only when it was counted and is known to
+# be at most this large; a larger one goes through Spark's own choice of join.
 BROADCAST_ROWS_MAX = 1_000_000
+BROADCAST_BYTES_MAX = 64 * 1024 * 1024
 
 _VARIANTS = {"exact": lambda c: c, "upper": F.upper, "lower": F.lower}
 
 
 def checked_dimension(dim: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
     """Refuse repeated keys, and broadcast the table only if it is known small."""
-    per_key = dim.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("n"))
-    rows, most = per_key.agg(F.sum("n"), F.max("n")).first()
+    width = "octet_length(concat_ws('', {}))".format(
+        ", ".join(f"CAST({quoted(c)} AS STRING)" for c in dim.columns)
+    )
+    per_key = dim.groupBy(*cols(keys)).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"sum({width})").alias("bytes")
+    )
+    rows, most, size = per_key.agg(F.sum("n"), F.max("n"), F.sum("bytes")).first()
     if most is not None and most > 1:
         raise ValueError(f"{what} has repeated keys in ({', '.join(keys)})")
-    return F.broadcast(dim) if (rows or 0) <= BROADCAST_ROWS_MAX else dim
+    small = (rows or 0) <= BROADCAST_ROWS_MAX and (size or 0) <= BROADCAST_BYTES_MAX
+    return F.broadcast(dim) if small else dim
 
 
 def needed_variants(keys, variants: Sequence[str]) -> list[str]:
@@ -86,7 +93,8 @@ def add_lookup(
             )
         )
     else:
-        dim = checked_dimension(mapping, ["key"], "mapping")
+        needed = mapping.select("key", *dict.fromkeys(out.values()))
+        dim = checked_dimension(needed, ["key"], "mapping")
     return _join_lookup(df, value, dim, out, variants)
 
 

@@ -24,6 +24,7 @@ from .normalize import (
 )
 from .quality import (
     check_column,
+    clamp,
     plausible_year,
     validate_range,
     validate_salary_ranges,

@@ -32,7 +32,9 @@ def convert_currency_to_usd(
     else:
         require_columns(exchange_rates, "year", "currency", "rate")
         rates = checked_dimension(
-            exchange_rates, ["year", "currency"], "exchange_rates"
+            exchange_rates.select("year", "currency", "rate"),
+            ["year", "currency"],
+            "exchange_rates",
         )
     rates = rates.select(
         F.col("currency").cast("string").alias("__rate_currency"),

@@ -8,7 +8,7 @@ again, and constants need no statistics at all.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -65,15 +65,17 @@ def impute_missing(
     num_method: NumMedian | NumMean | NumConstant = NumMedian(),
     cat_method: CatMode | CatConstant | CatNewLevel = CatMode(),
     bool_method: BoolMajority = BoolMajority(),
+    medians: Mapping[str, float] | None = None,
 ) -> DataFrame:
     """Fill the nulls of ``cols`` (default: all) by the method for their type.
 
     Columns of other types, and columns without any value where a statistic is
     asked for, stay as they are.  A whole-number column that has nulls becomes
-    double when filled with its median or mean.
+    double when filled with its median or mean.  ``medians`` holds those already
+    known, so that they are not searched for again.
     """
     methods = _methods(df, cols, exclude, num_method, cat_method, bool_method)
-    fills = _fills(df, methods)
+    fills = _fills(df, methods, medians or {})
     columns = []
     for field in df.schema:
         column = col(field.name)
@@ -146,7 +148,7 @@ def _methods(df, selected, exclude, num_method, cat_method, bool_method) -> dict
     return methods
 
 
-def _fills(df: DataFrame, methods: dict) -> dict:
+def _fills(df: DataFrame, methods: dict, known: Mapping[str, float]) -> dict:
     """Fill value of each column that is to be filled."""
     fills, searched = {}, []
     for name, method in methods.items():
@@ -179,6 +181,8 @@ def _fills(df: DataFrame, methods: dict) -> dict:
             fills[name] = row[f"mean{i}"]
         elif isinstance(method, BoolMajority):
             fills[name] = 2 * row[f"true{i}"] >= seen
+        elif isinstance(method, NumMedian) and name in known:
+            fills[name] = known[name]
         elif isinstance(method, NumMedian):
             medians.append(name)
         else:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,9 +94,16 @@ def winsorize(
     leaves columns with a null alone.  A table of at most one row is left as it is.
     NaN is an error unless ``nan_as_null``.
     """
-    bounds = winsor_bounds(
+    bounds, _ = winsor_bounds(
         df, lower_quantile, upper_quantile, cols, exclude, on_nulls, nan_as_null
     )
+    return clamp(df, bounds, nan_as_null)
+
+
+def clamp(
+    df: DataFrame, bounds: Mapping[str, tuple[float, float]], nan_as_null: bool = False
+) -> DataFrame:
+    """Clamp columns to known bounds; nulls stay null."""
     columns = []
     for name in df.columns:
         column = col(name)
@@ -119,8 +126,10 @@ def winsor_bounds(
     exclude: Sequence[str] = (),
     on_nulls: str = "ignore",
     nan_as_null: bool = False,
-) -> dict[str, tuple[float, float]]:
-    """The clamps :func:`winsorize` applies, by column."""
+    medians_of: Sequence[str] = (),
+) -> tuple[dict[str, tuple[float, float]], dict[str, float]]:
+    """The clamps :func:`winsorize` applies, by column, and with them the medians of
+    ``medians_of`` as they are before clamping, found in the same search."""
     if on_nulls not in ("ignore", "skip_column"):
         raise ValueError(f"Unknown on_nulls: {on_nulls}")
     require_columns(df, *(cols or ()))
@@ -131,17 +140,26 @@ def winsor_bounds(
         and (cols is None or f.name in cols)
         and f.name not in exclude
     ]
-    found = exact_quantiles(df, {n: [lower_quantile, upper_quantile] for n in numeric})
-    nan = [name for name, q in found.items() if q.nans]
+    wanted = {n: [lower_quantile, upper_quantile] for n in numeric}
+    for name in medians_of:
+        wanted[name] = [*wanted.get(name, []), 0.5]
+    found = exact_quantiles(df, wanted)
+    nan = [name for name in numeric if found[name].nans]
     if nan and not nan_as_null:
         raise ValueError(f"NaN in columns to winsorize: {', '.join(nan)}")
-    return {
-        name: tuple(q.values)
-        for name, q in found.items()
-        if q.rows > 1
-        and q.values
-        and (on_nulls == "ignore" or q.count + q.nans == q.rows)
+    bounds = {
+        name: tuple(found[name].values[:2])
+        for name in numeric
+        if found[name].rows > 1
+        and found[name].values
+        and (on_nulls == "ignore" or found[name].count == found[name].rows)
+    }
+    medians = {
+        name: found[name].values[-1]
+        for name in medians_of
+        if found[name].values and not found[name].nans
     }
+    return bounds, medians
 
 
 def _number(df: DataFrame, name: str, nan_as_null: bool) -> Column:

@@ -12,8 +12,8 @@ closed in on instead:
   are then sorted.
 
 The sample only proposes cuts: a bad one costs another round, never the result.
-Every round is one scan of the columns concerned, with no shuffle beyond one row of
-counters per task; the bracket shrinks by a factor of several hundred each time.
+Every round is two scans of the columns concerned, with no shuffle beyond a few rows
+per task; the bracket shrinks by a factor of several hundred each time.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import math
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from itertools import batched
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,9 @@ from ..functions.columns import double_literal, quoted
 
 _LUCK = "luck"
 _SAMPLE = 10_000
+# Columns searched together.  A columnar scan reads as much in any case, and the
+# generated code stays small enough to be compiled.
+_BATCH = 16
 # Cuts at these many standard errors of the sample around the wanted rank.
 _SPREAD = (-5.0, -1.5, -0.3, 0.3, 1.5, 5.0)
 
@@ -89,16 +93,21 @@ def exact_quantiles(
         columns.append(f"{value} AS {short[name]}")
     values = df.selectExpr(*columns)
     rows = values.count()
-    if rows <= settle:
-        found = _sorted_quantiles(values, wanted, rows)
-    else:
-        found = _closed_in_quantiles(values, wanted, rows, settle, seed)
+    found = {}
+    for some in batched(wanted, _BATCH):
+        part = values.select(*[c for c in values.columns if c.split("_")[-1] in some])
+        ask = {c: wanted[c] for c in some}
+        if rows <= settle:
+            found.update(_sorted_quantiles(part, ask, rows))
+        else:
+            found.update(_closed_in_quantiles(part, ask, rows, settle, seed))
     return {name: found[short[name]] for name in names}
 
 
 def _closed_in_quantiles(values, wanted, rows, settle, seed) -> dict[str, Quantiles]:
     cuts = _first_cuts(values, wanted, rows, seed)
-    counts, found = _count(values, cuts, list(wanted), rows)
+    counts, totals, nans = _count(values, {c: cuts.get(c, []) for c in wanted})
+    found = {c: Quantiles(totals[c], nans.get(c, 0), rows) for c in wanted}
     targets: dict[tuple[str, int], _Target] = {}
     for column, ps in wanted.items():
         n = found[column].count
@@ -114,7 +123,7 @@ def _closed_in_quantiles(values, wanted, rows, settle, seed) -> dict[str, Quanti
             break
         seed += 1
         cuts = _next_cuts(values, open_targets, seed)
-        counts, _ = _count(values, cuts, [], rows)
+        counts, _, _ = _count(values.select(*cuts), cuts)
         for target in open_targets:
             _locate(target, counts[target.column])
     _settle(values, [t for t in targets.values() if t.value is None])
@@ -217,36 +226,67 @@ def _sampled_cuts(values, requests, seed) -> dict[str, list[float]]:
             transform({spread}, z -> get(a, greatest(0, least(size(a) - 1, int(floor(
                 size(a) * s + z * sqrt(size(a) * s * (1 - s) + 1)))))))))"""
         aggregates.append(f"{_sorted(chosen, column, around)} AS s{i}")
-    row = values.withColumn(_LUCK, F.rand(seed)).selectExpr(*aggregates).first()
+    lucky = values.withColumn(_LUCK, F.rand(seed)).where(
+        _any_of(chosen for _, chosen, _ in requests)
+    )
+    row = lucky.selectExpr(*aggregates).first()
     cuts = defaultdict(set)
     for i, (column, _, _) in enumerate(requests):
         cuts[column].update(v for v in row[f"s{i}"] if v is not None)
     return {column: sorted(found) for column, found in cuts.items()}
 
 
-def _count(values, cuts, columns, rows):
-    """Exact counts ``(cut, values under it, values under or at it)`` per column,
-    and the totals of ``columns``."""
-    counters = ["count(1) AS rows"]
-    if columns:
-        counters += _nan_counters(values)
-        counters += [f"count({c}) AS n_{c}" for c in columns]
+def _count(values, cuts):
+    """Exact counts ``(cut, values under it, values under or at it)`` per column, the
+    number of values per column, and of NaNs.
+
+    Every value is given the number of its bucket: the odd ones hold the values equal
+    to a cut, the even ones those between two cuts.  Buckets are counted in each task,
+    so the shuffle moves a few rows per task.
+    """
+    starts, start = {}, 0
     for column, found in cuts.items():
-        for i, cut in enumerate(map(double_literal, found)):
-            counters.append(f"count_if({column} < {cut}) AS lt{i}_{column}")
-            counters.append(f"count_if({column} <= {cut}) AS le{i}_{column}")
-    row = values.selectExpr(*counters).first().asDict()
-    counted = {
-        column: [
-            (cut, row[f"lt{i}_{column}"], row[f"le{i}_{column}"])
-            for i, cut in enumerate(found)
-        ]
-        for column, found in cuts.items()
-    }
-    totals = {
-        c: Quantiles(row[f"n_{c}"], row.get(f"nan_{c}", 0), rows) for c in columns
-    }
-    return defaultdict(list, counted), totals
+        starts[column] = start
+        start += 2 * len(found) + 1
+    nan_columns = [c for c in values.columns if c.startswith("nan_")]
+    buckets = [
+        f"CASE WHEN {c} IS NOT NULL THEN {_bucket(c, found, starts[c])} END AS b_{c}"
+        for c, found in cuts.items()
+    ]
+    buckets += [f"CASE WHEN {c} THEN {start + i} END AS b_{c}" for i, c in enumerate(nan_columns)]
+    bucketed = values.selectExpr(*buckets)
+    counted = (
+        bucketed.unpivot([], bucketed.columns, "column", "bucket")
+        .where("bucket IS NOT NULL")
+        .groupBy("bucket")
+        .count()
+    )
+    per_bucket = defaultdict(int, {r["bucket"]: r["count"] for r in counted.collect()})
+    counts, totals = defaultdict(list), {}
+    for column, found in cuts.items():
+        upto = per_bucket[starts[column]]
+        for i, cut in enumerate(found):
+            under = upto
+            upto = under + per_bucket[starts[column] + 2 * i + 1]
+            counts[column].append((cut, under, upto))
+            upto += per_bucket[starts[column] + 2 * i + 2]
+        totals[column] = upto
+    nans = {c.removeprefix("nan_"): per_bucket[start + i] for i, c in enumerate(nan_columns)}
+    return counts, totals, nans
+
+
+def _bucket(value: str, cuts: Sequence[float], start: int) -> str:
+    """Number of the bucket of a value, by binary search spelled as nested cases."""
+    if not cuts:
+        return str(start)
+    middle = len(cuts) // 2
+    cut = double_literal(cuts[middle])
+    under = _bucket(value, cuts[:middle], start)
+    over = _bucket(value, cuts[middle + 1 :], start + 2 * middle + 2)
+    return (
+        f"CASE WHEN {value} < {cut} THEN {under} "
+        f"WHEN {value} = {cut} THEN {start + 2 * middle + 1} ELSE {over} END"
+    )
 
 
 def _locate(target: _Target, counts) -> None:
@@ -276,17 +316,22 @@ def _settle(values, targets) -> None:
     if not brackets:
         return
 
-    aggregates = []
+    aggregates, insides = [], []
     for i, ((column, low, high), group) in enumerate(brackets.items()):
         picks = _array(f"get(a, {t.rank - t.below})" for t in group)
-        inside = _between(column, low, high)
-        aggregates.append(f"{_sorted(inside, column, picks)} AS b{i}")
-    row = values.selectExpr(*aggregates).first()
+        insides.append(_between(column, low, high))
+        aggregates.append(f"{_sorted(insides[-1], column, picks)} AS b{i}")
+    row = values.where(_any_of(insides)).selectExpr(*aggregates).first()
     for i, group in enumerate(brackets.values()):
         for t, value in zip(group, row[f"b{i}"]):
             t.value = value
 
 
+def _any_of(conditions) -> str:
+    """Rows that no list is going to take are dropped before the aggregation."""
+    return " OR ".join(f"({c})" for c in dict.fromkeys(conditions))
+
+
 def _between(value: str, low: float | None, high: float | None) -> str:
     conditions = ["true"]
     if low is not None:

@@ -54,20 +54,24 @@ def enforce_types(
     levels = _levels(
         df, [n for n in names if kinds[n] == "few"], max_factor_levels
     )
+    changed = [n for n in names if kinds[n] != "unchanged"]
+    # Stripped in a projection of its own, so that it is done once per value.
+    stripped = df.select(
+        *[
+            F.expr(stripped_sql(quoted(n))).alias(n) if n in changed else col(n)
+            for n in df.columns
+        ]
+    )
     columns = []
     for name in df.columns:
-        text = stripped_sql(quoted(name))
-        kind = kinds.get(name, "unchanged")
-        if kind in ("bigint", "double"):
-            number = F.expr(f"CAST({number_sql(text)} AS {kind})")
-            columns.append(number.alias(name))
-        elif name in levels:
-            columns.append(with_levels(F.expr(text), name, levels[name]))
-        elif kind == "unchanged":
-            columns.append(col(name))
-        else:
-            columns.append(F.expr(text).alias(name))
-    return df.select(*columns)
+        column = col(name)
+        if name in levels:
+            column = with_levels(column, name, levels[name])
+        elif kinds.get(name) in ("bigint", "double"):
+            number = f"CAST({number_sql(quoted(name))} AS {kinds[name]})"
+            column = F.expr(number).alias(name)
+        columns.append(column)
+    return stripped.select(*columns)
 
 
 def type_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

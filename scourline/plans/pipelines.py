@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import NumericType
 
 from ..operators.currency import convert_currency_to_usd
 from ..operators.dedup import deduplicate_rows
@@ -22,10 +23,10 @@ from ..operators.normalize import (
     normalize_job_title,
     normalize_remote_ratio,
 )
-from ..operators.quality import winsorize
+from ..operators.quality import clamp, winsor_bounds
 from ..operators.schema import standardize_colnames, validate_schema
 from ..operators.typing import enforce_types
-from ..sources.csv import export_cleaned, import_data
+from ..sources.csv import export_cleaned, import_data, infer_csv_types
 from ..sources.scratch import written
 
 
@@ -47,7 +48,7 @@ def pipeline(
         raise ValueError(f"No pipeline defined for mode: {mode}")
     if not isinstance(source, DataFrame):
         spark = spark or SparkSession.getActiveSession()
-        source = import_data(spark, source, **(read_options or {}))
+        source = _imported(spark, source, dict(read_options or {}))
     elif read_options:
         raise ValueError("read_options apply to a path only")
     return PRESETS[mode](source, **options)
@@ -69,12 +70,22 @@ def export_pipeline(
     if not isinstance(source, DataFrame):
         read_options = {"delim": load_delim, **(read_options or {})}
     cleaned = pipeline(source, mode, spark=spark, read_options=read_options, **options)
-    # Written once, so that neither the export nor the caller runs the preset again.
-    cleaned = written(cleaned)
+    if mode == "no_impute":
+        # The first row of a key in scan order is to be the same in the file and in
+        # the frame.  The other presets with duplicates removed are written already.
+        cleaned = written(cleaned)
     export_cleaned(cleaned, out_path, export_delim, **(write_options or {}))
     return cleaned
 
 
+def _imported(spark: SparkSession, path: str, options: dict) -> DataFrame:
+    """The CSV is parsed once and written as columns; types are inferred on those, and
+    so is all that follows."""
+    infer = options.pop("infer", True) and options.get("schema") is None
+    df = written(import_data(spark, path, infer=False, **options))
+    return infer_csv_types(df) if infer else df
+
+
 def minimal(
     df: DataFrame, required_columns: Sequence[str] | None = None, strict: bool = True
 ) -> DataFrame:
@@ -120,8 +131,13 @@ def strict_clean(
     df = written(
         no_impute(df, required_columns, strict, dedup_mode="drop_all", dedup_by=dedup_by)
     )
-    df = winsorize(df, exclude=winsorize_exclude)
-    return impute_missing(df, cat_method=CatNewLevel("NA"))
+    # Clamping to the 5 % and 95 % quantiles leaves the median where it is, so one
+    # search finds all three.
+    numeric = [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
+    bounds, medians = winsor_bounds(df, exclude=winsorize_exclude, medians_of=numeric)
+    return impute_missing(
+        clamp(df, bounds), cat_method=CatNewLevel("NA"), medians=medians
+    )
 
 
 def ml_ready(
