@@ -12,8 +12,9 @@ closed in on instead:
   are then sorted.
 
 The sample only proposes cuts: a bad one costs another round, never the result.
-Every round is two scans of the columns concerned, with no shuffle beyond a few rows
-per task; the bracket shrinks by a factor of several hundred each time.
+Every round is two scans of the columns concerned, with no shuffle beyond the sample
+and one row of counters per task; on a large table the bracket shrinks by a factor of
+about two hundred each time.
 """
 
 from __future__ import annotations
@@ -31,12 +32,13 @@ from pyspark.sql import types as T
 from ..functions.columns import double_literal, quoted
 
 _LUCK = "luck"
-_SAMPLE = 10_000
+# Values to sample per bracket, for small and large ones.
+_SAMPLE = (10_000, 100_000)
+# Cuts at these many standard errors of the sample around the wanted rank.
+_SPREAD = (-4.0, 4.0)
 # Columns searched together.  A columnar scan reads as much in any case, and the
 # generated code stays small enough to be compiled.
-_BATCH = 16
-# Cuts at these many standard errors of the sample around the wanted rank.
-_SPREAD = (-5.0, -1.5, -0.3, 0.3, 1.5, 5.0)
+_BATCH = 8
 
 
 @dataclass
@@ -68,7 +70,7 @@ class Quantiles:
 def exact_quantiles(
     df: DataFrame,
     probabilities: Mapping[str, Sequence[float]],
-    settle: int = 50_000,
+    settle: int = 100_000,
     seed: int = 11,
 ) -> dict[str, Quantiles]:
     """Linearly interpolated quantiles (type 7) of numeric columns.
@@ -193,9 +195,14 @@ def _sorted_quantiles(values, wanted, rows) -> dict[str, Quantiles]:
     return result
 
 
+def _sample(size: int) -> int:
+    least, most = _SAMPLE
+    return max(least, min(most, size // 50))
+
+
 def _first_cuts(values, wanted, rows, seed) -> dict[str, list[float]]:
     requests = [
-        (column, f"{_LUCK} < {double_literal(_SAMPLE / rows)}", ps)
+        (column, f"{_LUCK} < {double_literal(_sample(rows) / rows)}", ps)
         for column, ps in wanted.items()
     ]
     return _sampled_cuts(values, requests, seed)
@@ -208,7 +215,8 @@ def _next_cuts(values, targets, seed) -> dict[str, list[float]]:
     requests = [
         (
             column,
-            f"{_between(column, low, high)} AND {_LUCK} < {double_literal(_SAMPLE / inside)}",
+            f"{_between(column, low, high)}"
+            f" AND {_LUCK} < {double_literal(_sample(inside) / inside)}",
             [(rank - below) / inside for rank in ranks],
         )
         for (column, low, high, below, inside), ranks in brackets.items()
@@ -217,7 +225,7 @@ def _next_cuts(values, targets, seed) -> dict[str, list[float]]:
 
 
 def _sampled_cuts(values, requests, seed) -> dict[str, list[float]]:
-    """Sample about ``_SAMPLE`` values each, and take the values of the sample
+    """Sample each bracket, and take the values of the sample
     around the wanted shares as cuts; only these leave the executors."""
     spread = _array(map(double_literal, _SPREAD))
     aggregates = []
@@ -238,57 +246,26 @@ def _sampled_cuts(values, requests, seed) -> dict[str, list[float]]:
 
 def _count(values, cuts):
     """Exact counts ``(cut, values under it, values under or at it)`` per column, the
-    number of values per column, and of NaNs.
-
-    Every value is given the number of its bucket: the odd ones hold the values equal
-    to a cut, the even ones those between two cuts.  Buckets are counted in each task,
-    so the shuffle moves a few rows per task.
-    """
-    starts, start = {}, 0
+    number of values per column, and of NaNs: one row of counters per task."""
+    counters = _nan_counters(values)
     for column, found in cuts.items():
-        starts[column] = start
-        start += 2 * len(found) + 1
-    nan_columns = [c for c in values.columns if c.startswith("nan_")]
-    buckets = [
-        f"CASE WHEN {c} IS NOT NULL THEN {_bucket(c, found, starts[c])} END AS b_{c}"
-        for c, found in cuts.items()
-    ]
-    buckets += [f"CASE WHEN {c} THEN {start + i} END AS b_{c}" for i, c in enumerate(nan_columns)]
-    bucketed = values.selectExpr(*buckets)
-    counted = (
-        bucketed.unpivot([], bucketed.columns, "column", "bucket")
-        .where("bucket IS NOT NULL")
-        .groupBy("bucket")
-        .count()
-    )
-    per_bucket = defaultdict(int, {r["bucket"]: r["count"] for r in counted.collect()})
-    counts, totals = defaultdict(list), {}
-    for column, found in cuts.items():
-        upto = per_bucket[starts[column]]
-        for i, cut in enumerate(found):
-            under = upto
-            upto = under + per_bucket[starts[column] + 2 * i + 1]
-            counts[column].append((cut, under, upto))
-            upto += per_bucket[starts[column] + 2 * i + 2]
-        totals[column] = upto
-    nans = {c.removeprefix("nan_"): per_bucket[start + i] for i, c in enumerate(nan_columns)}
+        counters.append(f"count({column}) AS n_{column}")
+        for i, cut in enumerate(map(double_literal, found)):
+            counters.append(f"count_if({column} < {cut}) AS lt{i}_{column}")
+            counters.append(f"count_if({column} <= {cut}) AS le{i}_{column}")
+    row = values.selectExpr(*counters).first().asDict()
+    counts = {
+        column: [
+            (cut, row[f"lt{i}_{column}"], row[f"le{i}_{column}"])
+            for i, cut in enumerate(found)
+        ]
+        for column, found in cuts.items()
+    }
+    totals = {column: row[f"n_{column}"] for column in cuts}
+    nans = {column: row.get(f"nan_{column}", 0) for column in cuts}
     return counts, totals, nans
 
 
-def _bucket(value: str, cuts: Sequence[float], start: int) -> str:
-    """Number of the bucket of a value, by binary search spelled as nested cases."""
-    if not cuts:
-        return str(start)
-    middle = len(cuts) // 2
-    cut = double_literal(cuts[middle])
-    under = _bucket(value, cuts[:middle], start)
-    over = _bucket(value, cuts[middle + 1 :], start + 2 * middle + 2)
-    return (
-        f"CASE WHEN {value} < {cut} THEN {under} "
-        f"WHEN {value} = {cut} THEN {start + 2 * middle + 1} ELSE {over} END"
-    )
-
-
 def _locate(target: _Target, counts) -> None:
     """Narrow the bracket of ``target`` by the counted cuts, in rising order."""
     end = target.below + target.inside
