@@ -2,7 +2,7 @@
 
 from .levels import is_categorical, is_ordered, level_ordinal, levels_of, with_levels
 from .lookup import add_lookup
-from .text import parse_number, snake_case, snake_case_name, strip_blanks
+from .text import number_sql, snake_case, snake_case_name, stripped_sql
 
 __all__ = [
     "add_lookup",
@@ -10,9 +10,9 @@ __all__ = [
     "is_ordered",
     "level_ordinal",
     "levels_of",
-    "parse_number",
+    "number_sql",
     "snake_case",
     "snake_case_name",
-    "strip_blanks",
+    "stripped_sql",
     "with_levels",
 ]
