@@ -420,6 +420,22 @@ def impute_report(spark, sf_dir):
     return sc.impute_report(before, after)
 
 
+def usd_consistency(spark, sf_dir):
+    """Given amounts agree with the converted ones for euros of most years only."""
+    given = dirty_salaries(spark, sf_dir, *USD_COLUMNS).withColumn(
+        "given_usd", F.col("salary") * 0.9
+    )
+    return sc.check_usd(given, 0.04, usd_col="given_usd")
+
+
+def cleaning_report(spark, sf_dir):
+    before = dirty_salaries(spark, sf_dir, "work_year", "salary", "remote_ratio", "is_lead")
+    bounds, _ = sc.winsor_bounds(before, cols=["remote_ratio"])
+    once = sc.drop_all(before, ["work_year", "remote_ratio"])
+    after = sc.impute_missing(once, cols=["is_lead"])
+    return sc.cleaning_report(before, after, bounds)
+
+
 # --- Pipelines ----------------------------------------------------------------
 
 FX_COLUMNS = ("row_id", "work_year", "salary_currency", "salary", "raw_amount")
@@ -556,6 +572,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         range_report, range_report_custom, winsorize_column, winsorize_table,
         impute_median, impute_mean, impute_constant, impute_mode,
         impute_new_level, impute_majority, impute_report,
+        usd_consistency, cleaning_report,
         pipe_minimal, pipe_light_clean, pipe_strict_clean, pipe_ml_ready,
         pipe_currency_focus, pipe_no_impute,
         csv_roundtrip, csv_export_by_year, csv_export_pipeline, csv_lines,
@@ -761,6 +778,26 @@ def oracle_sql() -> dict[str, str]:
             union all {nulls("salary_currency", "CatMode", True)}
             union all {nulls("is_lead", "BoolMajority", True)}
             union all {nulls("remote_ratio", "NumMedian", False)}""",
+        "usd_consistency": f"""select row_id, work_year, salary_currency, salary,
+            salary * 0.9 as given_usd,
+            abs(salary * 0.9 - salary_in_usd) <= abs(salary_in_usd) * 0.04
+                as usd_consistent from ({USD_SQL}) u""",
+        "cleaning_report": f"""with b as (
+                {dirty_sql("work_year", "salary", "remote_ratio", "is_lead")}),
+            a as (select * from b
+                qualify count(*) over (partition by work_year, remote_ratio) = 1),
+            n as (select (select count(*) from b) as rows_before,
+                (select count(*) from a) as rows_after)
+            {" union all ".join(f"""select '{c}' as "column", rows_before, rows_after,
+                (select count(*) from b where {c} is null) as nulls_before,
+                {f"(select count(*) from a where {c} is null)" if c != "is_lead"
+                    else "case when (select count(is_lead) from a) = 0 then rows_after else 0 end"}
+                as nulls_after,
+                {"cast(null as bigint)" if c != "remote_ratio" else """(select count(*) from b
+                    where remote_ratio < (select quantile_cont(cast(remote_ratio as double), 0.05) from b)
+                    or remote_ratio > (select quantile_cont(cast(remote_ratio as double), 0.95) from b))"""}
+                as capped from n"""
+                for c in ("work_year", "salary", "remote_ratio", "is_lead"))}""",
         "pipe_minimal": f"""select row_id, job_title, {as_bigint} as raw_amount
             from ({dirty_sql("row_id", "job_title", "raw_amount")}) d""",
         "pipe_light_clean": light,

@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame cleaning operators."""
 
-from .currency import convert_currency_to_usd
+from .currency import check_usd, convert_currency_to_usd
 from .dedup import deduplicate_rows, drop_all, keep_first
 from .impute import (
     BoolMajority,
@@ -32,6 +32,7 @@ from .quality import (
     winsorize,
 )
 from .quantiles import exact_quantiles
+from .report import cleaning_report
 from .schema import (
     missing_columns,
     salary_table,

@@ -51,6 +51,23 @@ def convert_currency_to_usd(
     return joined.select(*columns)
 
 
+def check_usd(
+    df: DataFrame,
+    tolerance: float = 0.05,
+    usd_col: str = "salary_in_usd",
+    out_col: str = "usd_consistent",
+    **conversion,
+) -> DataFrame:
+    """Add whether a given USD amount agrees with the converted one, up to a share of
+    the converted amount; null where one of them is missing.  Further arguments are
+    those of :func:`convert_currency_to_usd`."""
+    require_columns(df, usd_col)
+    converted = convert_currency_to_usd(df, usd_col="__converted", **conversion)
+    given, expected = col(usd_col).cast("double"), F.col("__converted")
+    agrees = F.abs(given - expected) <= F.abs(expected) * tolerance
+    return converted.withColumn(out_col, agrees).drop("__converted")
+
+
 def _whole_year(df: DataFrame, year_col: str) -> Column:
     year = col(year_col)
     if isinstance(df.schema[year_col].dataType, T.IntegralType):

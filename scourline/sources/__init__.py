@@ -2,9 +2,10 @@
 
 from .csv import export_cleaned, import_data, import_lines, infer_csv_types
 from .rates import exchange_rates
-from .scratch import written
+from .scratch import discard_written, written
 
 __all__ = [
+    "discard_written",
     "exchange_rates",
     "export_cleaned",
     "import_data",

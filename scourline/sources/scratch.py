@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_paths: list[str] = []
+
 
 def scratch_root(spark: SparkSession) -> str | None:
     """The shared folder of the cluster, or null where there is none to use.
@@ -35,5 +37,19 @@ def written(df: DataFrame) -> DataFrame:
     if root is None:
         return df
     path = f"{root.rstrip('/')}/scourline-{uuid.uuid4().hex}"
+    _paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard_written(spark: SparkSession) -> int:
+    """Delete the tables this program has written so, once their results are used.
+
+    Returns how many.  DataFrames that still read them fail afterwards.
+    """
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    count = len(_paths)
+    while _paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_paths.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+    return count

@@ -129,3 +129,12 @@ def test_steps_are_written_in_the_shared_folder(spark):
     df = spark.createDataFrame([(1.0, "a", True), (None, "b", None)], DDL)
     out = sc.pipeline(df, "light_clean")
     assert all(root.split(":", 1)[-1].lstrip("/") in f for f in out.inputFiles())
+
+
+def test_written_steps_can_be_discarded(spark):
+    sc.discard_written(spark)
+    out = sc.pipeline(spark.createDataFrame([(1.0, "a", True)], DDL), "light_clean")
+    assert rows(out) == [(1.0, "a", True)]
+    assert sc.discard_written(spark) == 1
+    with pytest.raises(Exception, match="does not exist|NOT_EXIST|not exist"):
+        out.collect()
