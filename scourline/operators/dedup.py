@@ -9,6 +9,7 @@ other.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,11 +54,13 @@ def deduplicate_rows(
         raise ValueError(f"Unknown deduplication mode: {mode}")
     condition = _protection(df, protect, protect_col, protect_values)
     if condition is not None:
-        # Protected rows pass straight from the scan.  A window with the condition
-        # in its filter would have to hold every row of every key.
-        kept, always = kept.where(~condition), df.where(condition)
+        # Protected rows pass straight from the scan, which the plain condition may
+        # reach.  A window with the condition in its filter would have to hold every
+        # row of every key.
+        others = ~F.coalesce(condition, F.lit(False))
+        kept, always = kept.where(others), df.where(condition)
         if protect_keys is not None:
-            always = always.union(_matching(df.where(~condition), protect_keys))
+            always = always.union(_matching(df.where(others), protect_keys))
     elif protect_keys is not None:
         always = _matching(df, protect_keys)
     else:
@@ -118,10 +121,7 @@ def _protection(df, protect, protect_col, protect_values) -> Column | None:
         conditions.append(col(protect_col).isin(list(protect_values)))
     if not conditions:
         return None
-    merged = F.lit(False)
-    for condition in conditions:
-        merged = merged | F.coalesce(condition, F.lit(False))
-    return merged
+    return reduce(lambda one, other: one | other, conditions)
 
 
 def _matching(df: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:

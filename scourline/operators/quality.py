@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col
+from ..functions.columns import col, double_literal, quoted
 from ..functions.reference_values import (
     COMPANY_SIZES,
     EMPLOYMENT_TYPES,
@@ -106,15 +106,16 @@ def clamp(
     """Clamp columns to known bounds; nulls stay null."""
     columns = []
     for name in df.columns:
-        column = col(name)
-        if name in bounds:
-            value = _number(df, name, nan_as_null)
-            low, high = bounds[name]
-            column = F.when(
-                value.isNotNull(),
-                F.greatest(F.least(value, F.lit(high)), F.lit(low)),
-            ).alias(name)
-        columns.append(column)
+        if name not in bounds:
+            columns.append(col(name))
+            continue
+        value = _number(df, name, nan_as_null)
+        low, high = map(double_literal, bounds[name])
+        # Without the condition a null would come out as a bound.
+        clamped = f"greatest(least({value}, {high}), {low})"
+        columns.append(
+            F.expr(f"CASE WHEN {value} IS NOT NULL THEN {clamped} END").alias(name)
+        )
     return df.select(*columns)
 
 
@@ -162,10 +163,10 @@ def winsor_bounds(
     return bounds, medians
 
 
-def _number(df: DataFrame, name: str, nan_as_null: bool) -> Column:
-    value = col(name).cast("double")
+def _number(df: DataFrame, name: str, nan_as_null: bool) -> str:
+    value = f"CAST({quoted(name)} AS DOUBLE)"
     if nan_as_null and isinstance(
         df.schema[name].dataType, (T.DoubleType, T.FloatType)
     ):
-        value = F.when(~F.isnan(value), value)
+        value = f"nullif({value}, double('NaN'))"
     return value

@@ -70,7 +70,7 @@ class Quantiles:
 def exact_quantiles(
     df: DataFrame,
     probabilities: Mapping[str, Sequence[float]],
-    settle: int = 100_000,
+    settle: int = 250_000,
     seed: int = 11,
 ) -> dict[str, Quantiles]:
     """Linearly interpolated quantiles (type 7) of numeric columns.
