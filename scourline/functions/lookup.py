@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from .columns import col, cols, quoted
 
 MAP_KEYS_MAX = 16
-# A table given by the caller is broadcast only when it was counted and is known to
-# be at most this large; a larger one goes through Spark's own choice of join.
+# A table or dict given by the caller is broadcast only when it is known to be at most
+# this large; a larger one goes through Spark's own choice of join.
 BROADCAST_ROWS_MAX = 1_000_000
 BROADCAST_BYTES_MAX = 64 * 1024 * 1024
 
@@ -35,8 +35,11 @@ def checked_dimension(dim: DataFrame, keys: Sequence[str], what: str) -> DataFra
     rows, most, size = per_key.agg(F.sum("n"), F.max("n"), F.sum("bytes")).first()
     if most is not None and most > 1:
         raise ValueError(f"{what} has repeated keys in ({', '.join(keys)})")
-    small = (rows or 0) <= BROADCAST_ROWS_MAX and (size or 0) <= BROADCAST_BYTES_MAX
-    return F.broadcast(dim) if small else dim
+    return F.broadcast(dim) if _small(rows or 0, size or 0) else dim
+
+
+def _small(rows: int, size: int) -> bool:
+    return rows <= BROADCAST_ROWS_MAX and size <= BROADCAST_BYTES_MAX
 
 
 def needed_variants(keys, variants: Sequence[str]) -> list[str]:
@@ -82,16 +85,10 @@ def add_lookup(
             return df.withColumns(
                 {name: _map_lookup(value, mapping, variants) for name in out}
             )
-        dim = F.broadcast(
-            df.sparkSession.createDataFrame(
-                pa.table(
-                    {
-                        "key": pa.array(mapping.keys(), pa.string()),
-                        "code": pa.array(mapping.values(), pa.string()),
-                    }
-                )
-            )
-        )
+        keys, codes = pa.array(mapping.keys(), pa.string()), pa.array(mapping.values(), pa.string())
+        dim = df.sparkSession.createDataFrame(pa.table({"key": keys, "code": codes}))
+        if _small(len(mapping), keys.nbytes + codes.nbytes):
+            dim = F.broadcast(dim)
     else:
         needed = mapping.select("key", *dict.fromkeys(out.values()))
         dim = checked_dimension(needed, ["key"], "mapping")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
 
@@ -89,13 +90,10 @@ def import_lines(
     text = F.col("value")
     if ignore_repeated:
         text = _squeezed(text, delim)
-        header = lines.sparkSession.range(1).select(
-            _squeezed(F.lit(header), delim)
-        ).first()[0]
-    names = _header_names(lines.sparkSession, header, delim, options)
+    names = _header_names(header, delim, options.get("quote", '"'), ignore_repeated)
     parsed = F.from_csv(
         text,
-        ", ".join(f"`{n.replace('`', '``')}` string" for n in names),
+        ", ".join(f"{quoted(n)} string" for n in names),
         {"sep": delim, **{k: str(v) for k, v in options.items()}},
     )
     raw = records.select(parsed.alias("record")).select("record.*")
@@ -210,19 +208,14 @@ def _replacement(delim: str) -> str:
     return delim.replace("\\", "\\\\").replace("$", "\\$")
 
 
-def _header_names(spark, header: str, delim: str, options) -> list[str]:
-    width = header.count(delim) + 1
-    parsed = spark.range(1).select(
-        F.from_csv(
-            F.lit(header),
-            ", ".join(f"h{i} string" for i in range(width)),
-            {"sep": delim, **{k: str(v) for k, v in options.items()}},
-        ).alias("h")
-    ).first()["h"]
-    names = list(parsed)
-    while names and names[-1] is None:
-        names.pop()
-    return [n if n is not None else f"_c{i}" for i, n in enumerate(names)]
+def _header_names(header: str, delim: str, quote: str, ignore_repeated: bool) -> list[str]:
+    if len(delim) == 1:
+        names = next(csv.reader([header], delimiter=delim, quotechar=quote))
+    else:
+        names = header.split(delim)
+    if ignore_repeated:
+        names = [name for name in names if name]
+    return [name or f"_c{i}" for i, name in enumerate(names)]
 
 
 def _records(text: str) -> list[str]:

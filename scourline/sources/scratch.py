@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -21,6 +23,7 @@ def scratch_root(spark: SparkSession) -> str | None:
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None and context.master.startswith("local"):
         root = tempfile.mkdtemp(prefix="scourline-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         context.setCheckpointDir(root)
         root = context.getCheckpointDir()
     return root

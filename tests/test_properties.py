@@ -1,0 +1,94 @@
+"""Properties that hold for any table, checked on the smallest test tables."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+import scourline as sc
+from scourline.functions import lookup
+
+SF_DIR = "/root/testdata/sf0.001"
+KEY = ["l_orderkey", "l_linenumber"]
+
+
+@pytest.fixture(scope="module")
+def lines(spark):
+    if not os.path.isdir(SF_DIR):
+        pytest.skip("no test tables")
+    return spark.read.parquet(f"{SF_DIR}/lineitem.parquet").cache()
+
+
+def test_kept_keys(lines):
+    first, single = sc.keep_first(lines, KEY), sc.drop_all(lines, KEY)
+    keys = lines.select(*KEY).distinct()
+    assert first.count() == keys.count()
+    assert keys.exceptAll(first.select(*KEY)).count() == 0
+    assert single.join(first, KEY, "left_anti").count() == 0
+    assert single.exceptAll(lines).count() == 0
+
+
+def test_protected_rows_all_stay(lines):
+    protect = F.col("l_returnflag") == "R"
+    for mode in ("keep_first", "drop_all"):
+        out = sc.deduplicate_rows(lines, mode, KEY, order_by=lines.columns, protect=protect)
+        assert lines.where(protect).exceptAll(out).count() == 0
+        plain = sc.deduplicate_rows(lines, mode, KEY, order_by=lines.columns)
+        assert plain.exceptAll(out).count() == 0
+
+
+def test_winsorized_values_lie_within_bounds_and_keep_their_order(lines):
+    bounds, _ = sc.winsor_bounds(lines, cols=["l_extendedprice"])
+    low, high = bounds["l_extendedprice"]
+    both = lines.withColumn("raw", F.col("l_extendedprice"))
+    out = sc.winsorize(both, cols=["l_extendedprice"])
+    inside = F.col("raw").between(low, high)
+    assert out.where(~F.col("l_extendedprice").between(low, high)).count() == 0
+    assert out.where(inside & (F.col("raw") != F.col("l_extendedprice"))).count() == 0
+
+
+def test_imputing_changes_nulls_only(lines):
+    gaps = lines.withColumn("x", F.when(F.col("l_partkey") % 3 > 0, F.col("l_quantity")))
+    out = sc.impute_missing(gaps, cols="x")
+    changed = F.col("l_partkey") % 3 == 0
+    assert out.where(F.col("x").isNull()).count() == 0
+    assert out.where(~changed & (F.col("x") != F.col("l_quantity"))).count() == 0
+    assert out.where(changed).select("x").distinct().count() == 1
+
+
+def test_typing_is_idempotent(lines):
+    text = lines.select(*[F.col(c).cast("string").alias(c) for c in lines.columns])
+    once = sc.enforce_types(text)
+    assert once.schema == sc.enforce_types(once).schema
+    kinds = dict(once.dtypes)
+    assert kinds["l_orderkey"] == "bigint" and kinds["l_extendedprice"] == "double"
+
+
+@pytest.mark.parametrize(
+    "step",
+    [
+        sc.enforce_types, sc.winsorize, sc.impute_missing, sc.keep_first, sc.drop_all,
+        sc.standardize_colnames, lambda df: sc.pipeline(df, "light_clean"),
+        lambda df: sc.pipeline(df, "strict_clean"),
+    ],
+)
+def test_empty_table(spark, step):
+    df = spark.createDataFrame([], "a string, b double, c int, d boolean")
+    out = step(df)
+    assert out.count() == 0 and out.columns == df.columns
+
+
+def test_large_mappings_are_not_broadcast(spark, monkeypatch):
+    df = spark.createDataFrame([("b",), ("x",)], "job_title string")
+    mapping = {f"k{i}": str(i) for i in range(20)} | {"b": "B"}
+    table = spark.createDataFrame(list(mapping.items()), "key string, code string")
+    for given in (mapping, table):
+        hinted = sc.normalize_job_title(df, mapping=given)
+        assert "Broadcast" in hinted._jdf.queryExecution().analyzed().toString() or (
+            "strategy=broadcast" in hinted._jdf.queryExecution().analyzed().toString()
+        )
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS_MAX", 5)
+    for given in (mapping, table):
+        plain = sc.normalize_job_title(df, mapping=given)
+        assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString().lower()
+        assert sorted(r[0] for r in plain.collect()) == ["B", "x"]
