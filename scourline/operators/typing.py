@@ -2,7 +2,7 @@
 
 Two passes at most decide the types, whatever the number of columns:
 
-1. one aggregation counts, for every text column, the non-blank and the numeric
+1. one aggregation by column counts, for every text column, the non-blank and the numeric
    values, and marks which of a fixed number of hash buckets occur.  The number of
    marked buckets is a lower bound of the number of distinct values, so a column of
    free text is told apart here, with constant state and no shuffle of its values;
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col, cols, quoted
+from ..functions.columns import col, cols, double_literal, quoted
 from ..functions.levels import is_categorical, with_levels
 from ..functions.text import number_sql, stripped_sql
 
@@ -117,47 +117,44 @@ def _stringified(df: DataFrame) -> DataFrame:
 
 def _stacked(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Stripped values of several columns as ``(column, value)`` rows."""
-    stripped = df.selectExpr(
-        *[f"{stripped_sql(quoted(n))} AS {quoted(n)}" for n in names]
-    )
-    return stripped.unpivot([], cols(names), "column", "value")
+    values = df.select(*cols(names)).unpivot([], cols(names), "column", "value")
+    return values.selectExpr("`column`", f"{stripped_sql('value')} AS value")
 
 
 def _kinds(df, names, num_threshold, max_factor_levels) -> dict[str, str]:
     words = min(_WORDS_MAX, max(1, -(-4 * max_factor_levels // _WORD)))
-    prepared = df.selectExpr(
-        *[f"{stripped_sql(quoted(n))} AS t{i}" for i, n in enumerate(names)]
-    )
-    prepared = prepared.selectExpr(
-        "*",
-        *[f"{number_sql(f't{i}')} AS v{i}" for i in range(len(names))],
-        *[f"pmod(xxhash64(t{i}), {_WORD * words}) AS h{i}" for i in range(len(names))],
+    # One row per value, so that the generated code is as small for a hundred columns
+    # as for one.
+    values = _stacked(df, names).withColumnRenamed("value", "t")
+    values = values.selectExpr(
+        "*", f"{number_sql('t')} AS v", f"pmod(xxhash64(t), {_WORD * words}) AS h"
     )
-    stats = []
-    for i in range(len(names)):
-        stats.append(f"count_if(t{i} <> '') AS valid{i}")
-        stats.append(f"count(v{i}) AS numeric{i}")
-        stats.append(
-            f"bool_and(v{i} = floor(v{i}) AND abs(v{i}) < double('{2.0**63}')) AS whole{i}"
-        )
-        for w in range(words):
-            here = f"t{i} <> '' AND h{i} DIV {_WORD} = {w}"
-            bit = f"shiftleft(1L, int(h{i} % {_WORD}))"
-            stats.append(f"bit_or(CASE WHEN {here} THEN {bit} END) AS seen{i}_{w}")
-    row = prepared.selectExpr(*stats).first()
+    stats = [
+        "count_if(t <> '') AS valid",
+        "count(v) AS numeric",
+        f"bool_and(v = floor(v) AND abs(v) < {double_literal(2.0**63)}) AS whole",
+    ]
+    for w in range(words):
+        here = f"t <> '' AND h DIV {_WORD} = {w}"
+        stats.append(f"bit_or(CASE WHEN {here} THEN shiftleft(1L, int(h % {_WORD})) END) AS seen{w}")
+    rows = values.groupBy("column").agg(*map(F.expr, stats)).collect()
+    found = {r["column"]: r for r in rows}
     kinds = {}
-    for i, name in enumerate(names):
-        valid, numeric = row[f"valid{i}"], row[f"numeric{i}"]
+    for name in names:
+        row = found.get(name)
+        if row is None:  # a table without rows
+            kinds[name] = "unchanged"
+            continue
+        valid, numeric = row["valid"], row["numeric"]
         seen = sum(
-            ((row[f"seen{i}_{w}"] or 0) & (2**_WORD - 1)).bit_count()
-            for w in range(words)
+            ((row[f"seen{w}"] or 0) & (2**_WORD - 1)).bit_count() for w in range(words)
         )
         if valid == 0:
             kinds[name] = "unchanged"
         elif numeric / valid >= num_threshold:
             # No number at all only passes a threshold of 0: nothing speaks
             # against whole numbers then.
-            kinds[name] = "double" if row[f"whole{i}"] is False else "bigint"
+            kinds[name] = "double" if row["whole"] is False else "bigint"
         else:
             kinds[name] = "few" if seen <= max_factor_levels else "text"
     return kinds

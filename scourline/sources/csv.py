@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col, quoted, text_literal
+from ..functions.columns import col, cols, quoted, text_literal
 from ..functions.text import number_sql
 
 _INTEGER = r"^[+-]?\d+$"
@@ -129,26 +129,24 @@ def export_cleaned(
 def infer_csv_types(df: DataFrame) -> DataFrame:
     """Give string columns the first type that all their non-null values have.
 
-    Order: bigint, double, boolean, date, timestamp, else string.  One aggregation
-    over all columns decides, then one projection converts.
+    Order: bigint, double, boolean, date, timestamp, else string.  One aggregation by
+    column decides, then one projection converts.
     """
     names = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
     if not names:
         return df
-    checks = []
-    for i, name in enumerate(names):
-        value = quoted(name)
-        for kind, parsed in _candidates(value).items():
-            fits = f"CASE WHEN {value} IS NOT NULL THEN {parsed} IS NOT NULL END"
-            checks.append(f"bool_and({fits}) AS {kind}_{i}")
-    found = df.selectExpr(*checks).first()
+    checks = [
+        F.expr(f"bool_and(CASE WHEN value IS NOT NULL THEN {parsed} IS NOT NULL END)").alias(kind)
+        for kind, parsed in _candidates("value").items()
+    ]
+    values = df.select(*cols(names)).unpivot([], cols(names), "column", "value")
+    found = {r["column"]: r for r in values.groupBy("column").agg(*checks).collect()}
     columns = []
     for field in df.schema:
         value = quoted(field.name)
-        if field.name in names:
-            i = names.index(field.name)
+        if field.name in found:
             for kind, parsed in _candidates(value).items():
-                if found[f"{kind}_{i}"]:
+                if found[field.name][kind]:
                     value = parsed
                     break
         columns.append(f"{value} AS {quoted(field.name)}")
