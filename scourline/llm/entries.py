@@ -2,21 +2,52 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ngram_join import near_duplicates, rows_of
 from .substrings import remove_repeats
-from .work import table
+from .tokens import tokens_round_trip
+from .vectors import nearest
+from .work import ship_package, table
+
+
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vector")
+    )
+    return nearest(rows, rows.where("id % 50 = 0"), k=5)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
     )
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return near_duplicates(rows_of(table(spark, sf_dir, "documents"))).drop("row")
+
+
+def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    read = tokens_round_trip(table(spark, sf_dir, "documents"), vocabulary, end=2)
+    return read.select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 QUERIES = {
-    "op2_substring_dedup": op2_substring_dedup,
+    query.__name__: query
+    for query in (op1_ann, op2_substring_dedup, op6_ngram_join, op8_tokens)
 }
 
 ORACLES: dict[str, str] = {}

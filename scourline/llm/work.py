@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,3 +51,19 @@ def text_bytes(df: DataFrame, column: str = "text") -> int:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever it is imported from on the driver."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as target:
+            for source in sorted(package.rglob("*.py")):
+                target.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
