@@ -6,11 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import language, mixing, toxicity
+from .decontaminate import contamination
+from .lines import drop_repeated_lines
 from .ngram_join import near_duplicates, rows_of
+from .sharding import assign_shards
 from .substrings import remove_repeats
 from .tokens import tokens_round_trip
 from .vectors import nearest
-from .work import ship_package, table
+from .work import ship_package, stored, table
+
+#: Exponents of the data's shares, and the share of all tokens that the mix takes.
+MIX = {"source": 0.5, "lang": 0.7, "topic": 0.9}
+MIX_BUDGET = 0.6
+SHARDS = 40
 
 
 def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,11 +37,43 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(table(spark, sf_dir, "documents"), SHARDS)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages, by trigrams of labelled documents and the evidence of the pages."""
+    ship_package(spark)
+    trigrams = language.learn_trigrams(table(spark, sf_dir, "documents"))
+    host = language.host_of(F.col("url"))
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", F.col("html").alias("text"), host.alias("host"),
+        language.suffix_of(host).alias("suffix"),
+        language.declared_in(F.col("html")).alias("declared"),
+    )
+    return language.identify(pages, trigrams, markup=True).drop("text")
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return near_duplicates(rows_of(table(spark, sf_dir, "documents"))).drop("row")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
@@ -45,9 +86,69 @@ def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    model = toxicity.fit(docs, labels.select("doc_id", F.col("toxic").alias("label")))
+    return toxicity.toxicity(docs, *model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = mixing.n_tokens(F.col("text"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", tokens.alias("tokens"))
+    rows = stored(rows.withColumn("topic", mixing.topic_of(F.col("tokens"))), "sizes")
+    return mixing.mix(rows, MIX, MIX_BUDGET)
+
+
 QUERIES = {
     query.__name__: query
-    for query in (op1_ann, op2_substring_dedup, op6_ngram_join, op8_tokens)
+    for query in (
+        op1_ann, op2_substring_dedup, op3_decontamination, op4_sharding, op5_language_id,
+        op6_ngram_join, op7_line_dedup, op8_tokens, op9_toxicity, op10_mixing,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+ORACLES = {
+    "op3_decontamination": f"""with d as (select doc_id, {_WORDS} as w from documents),
+        b as (select item_id, {_WORDS} as w from benchmark),
+        bw as (select distinct item_id, least(len(w), 10) as n,
+            array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as win
+            from b, unnest(range(1, len(w) - least(len(w), 10) + 2)) t(i) where len(w) > 0),
+        dw as (select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') as win
+            from d, (select distinct n from bw) s, unnest(range(1, len(w) - n + 2)) t(i)),
+        h as (select doc_id, i, n, item_id from dw join bw using (win, n)),
+        c as (select doc_id, count(distinct p) as n_hit from
+            (select distinct doc_id, i, n from h) x, unnest(range(i, i + n)) t(p) group by 1),
+        m as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+            from (select distinct doc_id, cast(item_id as varchar) as item from h) x group by 1)
+        select doc_id, cast(len(w) as bigint) as n_words,
+            cast(coalesce(n_hit, 0) as bigint) as n_hit,
+            cast(coalesce(n_items, 0) as bigint) as n_items,
+            sha256(coalesce(items, '')) as items_sha256,
+            coalesce(n_hit, 0) > 0 as contaminated
+        from d left join c using (doc_id) left join m using (doc_id)""",
+    "op7_line_dedup": """with l as (select doc_id, string_split(text, chr(10)) as l
+            from documents),
+        w as (select doc_id, i, array_to_string(l[i:i + 2], chr(10)) as win
+            from l, unnest(range(1, len(l) - 1)) t(i)),
+        later as (select doc_id, i from w
+            qualify row_number() over (partition by win order by doc_id, i) > 1),
+        gone as (select distinct doc_id, p from later, unnest(range(i, i + 3)) t(p)),
+        lines as (select doc_id, p, l[p] as line from l, unnest(range(1, len(l) + 1)) t(p)),
+        kept as (select doc_id, string_agg(line, chr(10) order by p) as kept
+            from lines anti join gone using (doc_id, p) group by 1),
+        n as (select doc_id, count(*) as n_removed from gone group by 1)
+        select doc_id, cast(len(l) as bigint) as n_lines,
+            cast(coalesce(n_removed, 0) as bigint) as n_removed,
+            sha256(coalesce(kept, '')) as kept_sha256
+        from l left join kept using (doc_id) left join n using (doc_id)""",
+}

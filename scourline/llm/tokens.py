@@ -8,6 +8,9 @@ executor leaves nothing half written, and each row is decoded on its own.
 from __future__ import annotations
 
 import math
+import os
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,62 +25,109 @@ from .work import fresh_path, stored, text_bytes
 BLOCK_IDS = 1 << 18
 PART_BYTES = 12 << 20
 MAX_PARTS = 50_000
-CACHED_PIECES = 400_000
+CACHED_PIECES = 300_000  # of each generation
+
+#: Marks after a word, up to the blank behind them.
+_TRAILING = re.compile(
+    rb"([.,;:!?](?:(?<=[a-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))[.,;:!?]*)"
+    rb"(?=[\x20\x09-\x0d]|\Z)"
+)
+#: Small letters of ASCII and Latin-1: nothing for normalisation or splitting to do.
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+_PROBES = ("the", "größe", "àáâãäåæçèéêëìíîïðñòóôõö", "øùúûüýþÿ", "q")
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself where it is
+    printable, else the next one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b if b in shown else next(spare)) for b in range(256)]
+
 
 _RAW = "part int, place long, doc_ids array<long>, lengths array<int>, ids binary"
 _CODED = "part int, place long, doc_ids array<long>, block binary"
 
 
 class Encoder:
-    """IDs of texts by way of their blank-separated pieces, each of which is encoded once.
+    """IDs of texts by way of their blank-separated pieces, which are encoded once.
 
-    Right for vocabularies whose tokens never hold an ASCII blank, next to which nothing
-    depends on the other side of it.
+    Right for vocabularies that lower-case and split texts at blanks and between letters
+    and marks, as a token then never reaches from one piece into another.  Pieces are
+    remembered in two generations, so memory is bounded and frequent ones stay.
     """
 
     def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.size = np.empty(0, np.int64)
-        self.first = np.empty(0, np.int64)
-        self.flat = np.empty(0, np.uint32)
+        self.letters = _byte_letters()
+        model, whole = self._by_model, self._by_all
+        self.plain = all(model([p.encode()]) == whole([p.encode()]) for p in _PROBES)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    @staticmethod
+    def pieces(text: bytes) -> list[bytes]:
+        """Blank-separated pieces, in small letters and with marks after a word apart.
+
+        Texts that may hold special tokens or combining marks are left as they are: there
+        small letters first could make a difference.
+        """
+        if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
+            return text.split()
+        return _TRAILING.sub(rb" \1", text.lower()).split()
 
     def _learn(self, pieces: list[bytes]) -> None:
+        if len(self.young) + len(pieces) > CACHED_PIECES:
+            self.old, self.young = self.young, {}
+        plain, other = [], []
+        for piece in pieces:
+            known = self.old.get(piece)
+            if known is not None:
+                self.young[piece] = known
+            elif self.plain and _PLAIN.fullmatch(piece):
+                plain.append(piece)
+            else:
+                other.append(piece)
+        for unknown, way in ((plain, self._by_model), (other, self._by_all)):
+            for low in range(0, len(unknown), 1000):
+                some = unknown[low : low + 1000]
+                for piece, ids in zip(some, way(some)):
+                    self.young[piece] = array("I", ids).tobytes()
+
+    def _by_all(self, pieces: list[bytes]) -> list[list[int]]:
         texts = [p.decode("utf-8", "replace") for p in pieces]
-        found = [
-            e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        ]
-        size = np.array([len(i) for i in found], np.int64)
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, size.sum())
-        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.flat = np.concatenate([self.flat, flat])
-        self.index |= {p: len(self.index) + k for k, p in enumerate(pieces)}
+        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _by_model(self, pieces: list[bytes]) -> list[list[int]]:
+        """Merges alone, for words that the steps before would leave as they are."""
+        tokenize, letters = self.tokenizer.model.tokenize, self.letters
+        return [[t.id for t in tokenize("".join([letters[b] for b in p]))] for p in pieces]
 
     def encode(self, texts: list[bytes | None], end: int) -> list[np.ndarray]:
         """The IDs of each text and the ``end`` ID."""
-        if len(self.index) > CACHED_PIECES:
-            self._forget()
-        split = [(t or b"").split() for t in texts]
-        fresh = set().union(*split) - self.index.keys()
-        if fresh:
-            self._learn(list(fresh))
-        get, out = self.index.__getitem__, []
+        split = [self.pieces(t or b"") for t in texts]
+        last, out = array("I", [end]).tobytes(), []
+        every = set().union(*split)
+        for _ in range(2):  # twice if a generation has just passed
+            if fresh := [piece for piece in every if piece not in self.young]:
+                self._learn(fresh)
+        young = self.young
         for pieces in split:
-            at = np.fromiter(map(get, pieces), np.int64, len(pieces))
-            size = self.size[at]
-            ends = np.cumsum(size)
-            ids = np.empty(int(ends[-1]) + 1 if len(ends) else 1, np.uint32)
-            shift = np.repeat(self.first[at] - (ends - size), size)
-            ids[:-1] = self.flat[shift + np.arange(len(shift))]
-            ids[-1] = end
-            out.append(ids)
+            out.append(np.frombuffer(b"".join(map(young.__getitem__, pieces)) + last, np.uint32))
         return out
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(vocabulary: str) -> Encoder:
+    """The encoder of this worker process, which later tasks go on using."""
+    if vocabulary not in _encoders:
+        _encoders[vocabulary] = Encoder(vocabulary)
+    return _encoders[vocabulary]
+
+
 def _in_blocks(vocabulary: str, end: int):
     """Sorted documents of a partition as rows of about ``BLOCK_IDS`` raw IDs."""
 
@@ -103,10 +153,10 @@ def _in_blocks(vocabulary: str, end: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            encoder = encoder or Encoder(vocabulary)
+            encoder = encoder or encoder_of(vocabulary)
             part = batch["part"][0].as_py()
-            for low in range(0, batch.num_rows, 256):
-                piece = batch.slice(low, 256)
+            for low in range(0, batch.num_rows, 64):
+                piece = batch.slice(low, 64)
                 texts = piece["text"].cast(pa.binary()).to_pylist()
                 for doc, ids in zip(piece["doc_id"].to_pylist(), encoder.encode(texts, end)):
                     doc_ids.append(doc)
