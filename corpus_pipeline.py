@@ -17,6 +17,7 @@ from scourline.llm.ngram_join import drop_near_duplicates
 from scourline.llm.sharding import assign_shards
 from scourline.llm.work import ship_package, stored, table
 
+MIN_CONFIDENCE = 0.5
 #: Not expressible in SQL: languages, near duplicates and raking are fitted to the data.
 ORACLE_SQL = None
 
@@ -27,7 +28,7 @@ def _whole(docs: DataFrame):
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; those in none (noise, no text) go.
+    """Documents in a known language; those in none (noise, no text) or in doubt go.
 
     The declared language of a document is its ``lang``, its host is its ``source``.
     """
@@ -38,7 +39,8 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
         F.col("source").alias("host"), F.lit(None).cast("string").alias("suffix"),
     )
     found = language.identify(rows, trigrams)
-    return found.where(F.col("language") != language.UNKNOWN).select("_doc.*")
+    sure = F.col("confidence") >= MIN_CONFIDENCE
+    return found.where(sure & (F.col("language") != language.UNKNOWN)).select("_doc.*")
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

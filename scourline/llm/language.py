@@ -105,11 +105,27 @@ def _scored(table: np.ndarray, markup: bool, schema):
     return score
 
 
-def _softmax(logs: list[Column]) -> list[Column]:
-    top = F.greatest(*logs)
-    terms = [F.exp(x - top) for x in logs]
-    total = sum(terms[1:], terms[0])
-    return [t / total for t in terms]
+def _softmax(logs: Column) -> Column:
+    terms = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
+    return F.transform(terms, lambda t: t / _total(terms))
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+
+def _others(counts: str) -> Column:
+    """Counts of a group without the row itself; none for rows without a group."""
+    return F.zip_with(
+        F.coalesce(F.col(counts), F.col("_text")), "_text", lambda n, p: F.greatest(n - p, F.lit(0.0))
+    )
+
+
+def _drawn(counts: str, prior: Column, weight: float) -> Column:
+    """Shares of ``counts``, drawn towards ``prior`` as by ``weight`` further rows."""
+    return F.zip_with(
+        F.col(counts), prior, lambda n, p: (n + weight * p) / (_total(F.col(counts)) + weight)
+    )
 
 
 def identify(
@@ -129,8 +145,7 @@ def identify(
     names = [*languages, UNKNOWN]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     scored = rows.mapInArrow(_scored(table, markup, schema), f"{schema}, likelihood array<double>")
-    logs = [F.element_at("likelihood", k + 1) for k in range(len(names))]
-    scored = scored.withColumn("_text", F.array(*_softmax(logs)))
+    scored = scored.withColumn("_text", _softmax(F.col("likelihood")))
     light = scored.select("suffix", "host", "declared", "_text")
     soft = [F.element_at("_text", k + 1).alias(f"_p{k}") for k in range(len(names))]
     sums = [F.sum(f"_p{k}").alias(f"_s{k}") for k in range(len(names))]
@@ -152,25 +167,20 @@ def identify(
         .join(declared, F.col("declared") == F.col("_declared"), "left")
     )
 
-    def smoothed(counts: str, prior: list[Column], weight: float) -> list[Column]:
-        """Shares of the other rows of a group, drawn towards ``prior``."""
-        own = [F.element_at("_text", k + 1) for k in range(len(names))]
-        others = [F.greatest(F.coalesce(F.element_at(counts, k + 1), own[k]) - own[k], F.lit(0.0)) for k in range(len(names))]
-        total = sum(others[1:], others[0]) + weight
-        return [(n + F.lit(weight) * p) / total for n, p in zip(others, prior)]
-
     total = sum(whole) + len(names)
-    prior = [F.lit((n + 1) / total) for n in whole]
-    judged = judged.withColumn("_by_suffix", F.array(*smoothed("_suffix_n", prior, SUFFIX_WEIGHT)))
-    by_suffix = [F.element_at("_by_suffix", k + 1) for k in range(len(names))]
-    judged = judged.withColumn("_by_host", F.array(*smoothed("_suffix_host_n", by_suffix, HOST_WEIGHT)))
-    evidence = []
-    for k in range(len(names)):
-        said = F.element_at("_declared_n", k + 1) - F.element_at("_text", k + 1)
-        share = (F.greatest(said, F.lit(0.0)) + DECLARED_WEIGHT) / F.lit(whole[k] + DECLARED_WEIGHT * (kinds + 1))
-        host = F.greatest(F.element_at("_by_host", k + 1), F.lit(FLOOR))
-        evidence.append(logs[k] + F.log(host) + F.coalesce(F.log(share), F.lit(0.0)))
-    judged = judged.withColumn("_all", F.array(*_softmax(evidence)))
+    prior = F.array(*[F.lit((n + 1) / total) for n in whole])
+    known = F.array(*[F.lit(n + DECLARED_WEIGHT * (kinds + 1)) for n in whole])
+    judged = judged.select(
+        *[F.col(f"`{c}`") for c in rows.columns], "likelihood", "_text", "_declared",
+        _others("_suffix_n").alias("_near"), _others("_suffix_host_n").alias("_own"),
+        _others("_declared_n").alias("_said"),
+    )
+    by_host = _drawn("_own", _drawn("_near", prior, SUFFIX_WEIGHT), HOST_WEIGHT)
+    said = F.zip_with("_said", known, lambda n, m: F.log((n + DECLARED_WEIGHT) / m))
+    evidence = F.zip_with("likelihood", by_host, lambda x, p: x + F.log(F.greatest(p, F.lit(FLOOR))))
+    both = F.zip_with(evidence, said, lambda x, y: x + y)
+    judged = judged.withColumn("_all", F.when(F.col("_declared").isNull(), evidence).otherwise(both))
+    judged = judged.withColumn("_all", _softmax(F.col("_all")))
 
     def best(column: str) -> Column:
         at = F.array_position(column, F.array_max(column)).cast("int")
