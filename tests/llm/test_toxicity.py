@@ -1,0 +1,63 @@
+"""Toxicity: held-out accuracy on planted words, misspellings and odd rows."""
+
+import numpy as np
+import pytest
+
+from scourline.llm import toxicity as tox
+
+BAD = ["wretchedly", "blockheaded", "numbskull"]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    choose = np.random.default_rng(8)
+    good = [f"{a}{b}" for a in ("ta", "ri", "mo", "lu") for b in ("nder", "ling", "sto", "pra", "vek")]
+    out = []
+    for i in range(700):
+        words = choose.choice(good, choose.integers(20, 120)).tolist()
+        toxic = int(i % 4 == 0)
+        if toxic:
+            for _ in range(1 + len(words) // 50):
+                words[choose.integers(0, len(words))] = choose.choice(BAD)
+        out.append((i, " ".join(words), toxic))
+    return out
+
+
+@pytest.fixture(scope="module")
+def model(spark, rows):
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = [(i, t) for i, _, t in rows if i % 5] + [(None, 1), (5, None), (9999, 1), (3, 7)]
+    return tox.fit(docs, spark.createDataFrame(labels, "doc_id long, label int"))
+
+
+def test_held_out(spark, rows, model):
+    docs = spark.createDataFrame([r[:2] for r in rows if r[0] % 5 == 0], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in tox.toxicity(docs, *model).collect()}
+    right = [(got[i] >= 0.5) == bool(t) for i, _, t in rows if i % 5 == 0]
+    assert np.mean(right) > 0.93
+
+
+def test_misspellings_share_ngrams(model):
+    clean = "tander riling mosto lupra tavek " * 4
+    text = [(clean + w).encode() for w in ("numbskul", "Blockheadd", "tasto")]
+    a, b, c = tox.log_odds(text, *model)
+    assert a > c and b > c
+
+
+def test_odd_rows(spark, model):
+    long = "tander " * 100000
+    docs = [(1, None, "x"), (2, "", "x"), (3, "q", "x"), (None, "numbskull", "x"), (4, long, "x"), (4, long, "x")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, score string")
+    got = [(r.doc_id, r.score) for r in tox.toxicity(df, *model).collect()]
+    assert len(got) == 6 and all(0 <= s <= 1 for _, s in got)
+    by = dict(got)
+    assert by[1] == by[2]
+    assert tox.toxicity(df.limit(0), *model).count() == 0
+
+
+def test_labels_of_one_kind_or_none(spark, rows):
+    docs = spark.createDataFrame([r[:2] for r in rows[:9]], "doc_id long, text string")
+    for labels, value in (([], 0), ([(1, 0)], 0), ([(1, 1), (2, 1)], 1)):
+        given = spark.createDataFrame(labels, "doc_id long, label int")
+        got = tox.toxicity(docs, *tox.fit(docs, given)).collect()
+        assert {round(r.score) for r in got} == {value}
