@@ -49,22 +49,51 @@ _RAW = "part int, place long, doc_ids array<long>, lengths array<int>, ids binar
 _CODED = "part int, place long, doc_ids array<long>, block binary"
 
 
-class Encoder:
-    """IDs of texts by way of their blank-separated pieces, which are encoded once.
+class Pieces(dict):
+    """IDs of pieces as bytes, found when first asked for.
 
-    Right for vocabularies that lower-case and split texts at blanks and between letters
-    and marks, as a token then never reaches from one piece into another.  Pieces are
-    remembered in two generations, so memory is bounded and frequent ones stay.
+    Pieces are remembered in two generations, so memory is bounded and frequent ones stay.
     """
 
     def __init__(self, vocabulary: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.letters = _byte_letters()
-        model, whole = self._by_model, self._by_all
-        self.plain = all(model([p.encode()]) == whole([p.encode()]) for p in _PROBES)
-        self.young: dict[bytes, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.letters = dict(enumerate(_byte_letters()))
         self.old: dict[bytes, bytes] = {}
+        self.plain = all(self.by_model(p) == self.by_all(p) for p in map(str.encode, _PROBES))
+
+    def by_all(self, piece: bytes) -> list[int]:
+        text = piece.decode("utf-8", "replace")
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def by_model(self, piece: bytes) -> list[int]:
+        """Merges alone, for words that the steps before would leave as they are."""
+        text = piece.decode("latin-1")
+        return [t.id for t in self.tokenize(text if piece.isascii() else text.translate(self.letters))]
+
+    def __missing__(self, piece: bytes) -> bytes:
+        if len(self) >= CACHED_PIECES:
+            self.old = dict(self)
+            self.clear()
+        ids = self.old.get(piece)
+        if ids is None:
+            way = self.by_model if self.plain and _PLAIN.fullmatch(piece) else self.by_all
+            ids = array("I", way(piece)).tobytes()
+        self[piece] = ids
+        return ids
+
+
+class Encoder:
+    """IDs of texts by way of their blank-separated pieces, which are encoded once.
+
+    Right for vocabularies that lower-case and split texts at blanks and between letters
+    and marks, as a token then never reaches from one piece into another.
+    """
+
+    def __init__(self, vocabulary: str):
+        self.known = Pieces(vocabulary)
 
     @staticmethod
     def pieces(text: bytes) -> list[bytes]:
@@ -77,45 +106,11 @@ class Encoder:
             return text.split()
         return _TRAILING.sub(rb" \1", text.lower()).split()
 
-    def _learn(self, pieces: list[bytes]) -> None:
-        if len(self.young) + len(pieces) > CACHED_PIECES:
-            self.old, self.young = self.young, {}
-        plain, other = [], []
-        for piece in pieces:
-            known = self.old.get(piece)
-            if known is not None:
-                self.young[piece] = known
-            elif self.plain and _PLAIN.fullmatch(piece):
-                plain.append(piece)
-            else:
-                other.append(piece)
-        for unknown, way in ((plain, self._by_model), (other, self._by_all)):
-            for low in range(0, len(unknown), 1000):
-                some = unknown[low : low + 1000]
-                for piece, ids in zip(some, way(some)):
-                    self.young[piece] = array("I", ids).tobytes()
-
-    def _by_all(self, pieces: list[bytes]) -> list[list[int]]:
-        texts = [p.decode("utf-8", "replace") for p in pieces]
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _by_model(self, pieces: list[bytes]) -> list[list[int]]:
-        """Merges alone, for words that the steps before would leave as they are."""
-        tokenize, letters = self.tokenizer.model.tokenize, self.letters
-        return [[t.id for t in tokenize("".join([letters[b] for b in p]))] for p in pieces]
-
     def encode(self, texts: list[bytes | None], end: int) -> list[np.ndarray]:
         """The IDs of each text and the ``end`` ID."""
-        split = [self.pieces(t or b"") for t in texts]
-        last, out = array("I", [end]).tobytes(), []
-        every = set().union(*split)
-        for _ in range(2):  # twice if a generation has just passed
-            if fresh := [piece for piece in every if piece not in self.young]:
-                self._learn(fresh)
-        young = self.young
-        for pieces in split:
-            out.append(np.frombuffer(b"".join(map(young.__getitem__, pieces)) + last, np.uint32))
-        return out
+        known, last = self.known.__getitem__, array("I", [end]).tobytes()
+        found = (b"".join(map(known, self.pieces(t or b""))) + last for t in texts)
+        return [np.frombuffer(ids, np.uint32) for ids in found]
 
 
 _encoders: dict[str, Encoder] = {}
