@@ -15,11 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, cols
-from .schema import require_columns
+from .schema import ROW_ORDER, require_columns
 
 _NTH = "__nth"
 _COUNT = "__count"
-_SCAN = "__scan_order"
 
 
 def deduplicate_rows(
@@ -35,17 +34,26 @@ def deduplicate_rows(
 ) -> DataFrame:
     """Remove rows whose key ``by`` (default: all columns) occurs more than once.
 
-    ``keep_first`` keeps the first row of each key, in the order ``order_by``, or
-    in scan order where none is given.  ``drop_all`` keeps only the keys that occur
-    once.  Nulls equal each other in keys.
+    ``keep_first`` keeps the first row of each key, in the order ``order_by``, or in the
+    order of the source where :func:`scourline.import_data` has noted it down.  Rows of
+    any other DataFrame have no order that holds, so without ``order_by`` a key of some
+    columns is refused.  ``drop_all`` keeps only the keys that occur once.  Nulls equal
+    each other in keys.  The noted order is dropped from the result.
 
     Protected rows always stay, and count as occurrences of their key.  They are
     given as a condition (``protect``), as values of a column (``protect_col`` and
     ``protect_values``), or as a table of values of some columns (``protect_keys``);
     a null is never protected by value.
     """
-    by = list(by) if by is not None else df.columns
+    named = [c for c in df.columns if c != ROW_ORDER]
+    by = list(by) if by is not None else named
     require_columns(df, *by)
+    if set(by) == set(named):
+        df = df.select(*cols(named))  # equal rows need no order
+    elif mode == "keep_first" and order_by is None and ROW_ORDER not in df.columns:
+        raise ValueError(
+            "keep_first by some columns needs order_by, or rows imported with keep_order"
+        )
     if mode == "keep_first":
         kept = _first_rows(df, by, order_by)
     elif mode == "drop_all":
@@ -64,10 +72,10 @@ def deduplicate_rows(
     elif protect_keys is not None:
         always = _matching(df, protect_keys)
     else:
-        return kept
+        return kept.drop(ROW_ORDER)
     if protect_keys is not None:
         kept = _matching(kept, protect_keys, how="left_anti")
-    return always.union(kept)
+    return always.union(kept).drop(ROW_ORDER)
 
 
 def keep_first(df: DataFrame, by: Sequence[str] | None = None, **kwargs) -> DataFrame:
@@ -82,14 +90,12 @@ def _first_rows(df, by, order_by) -> DataFrame:
     if set(by) == set(df.columns):
         # Rows with equal keys are equal: a plain hash aggregate, no order needed.
         return df.dropDuplicates()
-    if order_by is None:
-        df = df.withColumn(_SCAN, F.monotonically_increasing_id())
-        order_by = [_SCAN]
+    order_by = [ROW_ORDER] if order_by is None else order_by
     first = Window.partitionBy(*cols(by)).orderBy(*order_by)
     return (
         df.withColumn(_NTH, F.row_number().over(first))
         .where(F.col(_NTH) == 1)
-        .drop(_NTH, _SCAN)
+        .drop(_NTH)
     )
 
 

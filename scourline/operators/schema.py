@@ -11,6 +11,10 @@ from ..functions.reference_values import SALARY_COLUMNS
 from ..functions.text import snake_case_name
 
 
+#: Where a row stood in its source, as :func:`scourline.import_data` notes it down.
+ROW_ORDER = "__row_order"
+
+
 def missing_columns(df: DataFrame, required: Iterable[str]) -> list[str]:
     """Required names that ``df`` lacks, in the order required (case-sensitive)."""
     present = set(df.columns)
@@ -46,7 +50,10 @@ def standardize_colnames(
     """Snake-case all column names of one DataFrame, or of each in a list."""
     if not isinstance(df, DataFrame):
         return [standardize_colnames(one) for one in df]
-    names = [snake_case_name(name) for name in df.columns]
+    names = [n if n == ROW_ORDER else snake_case_name(n) for n in df.columns]
+    nameless = [old for old, new in zip(df.columns, names) if not new]
+    if nameless:
+        raise ValueError(f"Nothing is left of column names once standardised: {nameless}")
     repeated = [name for name, n in Counter(names).items() if n > 1]
     if repeated:
         raise ValueError(f"Column names collide once standardised: {repeated}")

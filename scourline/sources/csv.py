@@ -13,9 +13,12 @@ from pyspark.sql import types as T
 
 from ..functions.columns import col, cols, quoted, text_literal
 from ..functions.text import number_sql
+from ..operators.schema import ROW_ORDER
 
 _INTEGER = r"^[+-]?\d+$"
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
+_QUOTES = {"quote": '"', "escape": '"'}
+_SURPLUS = "__surplus"
 _TIMESTAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?$"
 
 
@@ -29,38 +32,64 @@ def import_data(
     ignore_repeated: bool = False,
     schema: T.StructType | str | None = None,
     infer: bool = True,
+    multi_line: bool = False,
+    keep_order: bool = False,
+    surplus: str = "error",
     **options,
 ) -> DataFrame:
     """Read a headed CSV file or folder, or with ``from_text`` the CSV text itself.
 
+    Quotes inside quoted values are doubled, as usual.  Values with line ends need
+    ``multi_line``, since a file can then not be split; without it they are refused.
     Values listed in ``missing_strings`` become null before types are inferred.
-    ``ignore_repeated`` treats a run of delimiters as one.  Types come from
-    ``schema``, or from one pass over the data unless ``infer`` is off.  Any other
-    option goes to Spark's reader.
+    ``ignore_repeated`` treats a run of delimiters outside quotes as one.  Types come from
+    ``schema``, whose names are those of the header, or from one pass over the data unless
+    ``infer`` is off.  A value that ``schema`` cannot hold fails the job, and so does a
+    record with more fields than the header (``surplus="drop"`` cuts it).  ``keep_order``
+    adds the column ``ROW_ORDER``, by which :func:`scourline.keep_first` knows the rows'
+    order.  Any other option goes to Spark's reader.
     """
+    if surplus not in ("error", "drop"):
+        raise ValueError(f"Unknown way with surplus fields: {surplus}")
+    options = {**_QUOTES, **options}
+    common = {
+        "missing_strings": missing_strings, "ignore_repeated": ignore_repeated,
+        "schema": schema, "infer": infer, "surplus": surplus, **options,
+    }
     if from_text:
+        records = list(enumerate(_records(source, options["quote"])))
         lines = spark.createDataFrame(
-            [(record,) for record in _records(source)], "value string"
-        )
-        return import_lines(
-            lines, delim, missing_strings=missing_strings,
-            ignore_repeated=ignore_repeated, schema=schema, infer=infer, **options,
+            [(record, at) for at, record in records], f"value string, {ROW_ORDER} long"
         )
+        df = import_lines(lines.coalesce(1), delim, **common)
+        return df if keep_order else df.drop(ROW_ORDER)
     try:
+        if not multi_line:
+            _refuse_open_quotes(spark.read.text(source), delim, options["quote"])
         if ignore_repeated:
-            return import_lines(
-                spark.read.text(source), delim, missing_strings=missing_strings,
-                ignore_repeated=True, schema=schema, infer=infer, **options,
-            )
-        reader = spark.read.options(**{"header": True, "sep": delim, **options})
-        if schema is not None and tuple(missing_strings) == ("",):
-            return reader.schema(schema).csv(source)
-        raw = reader.csv(source)
+            if multi_line:
+                raise ValueError("ignore_repeated works line by line, without multi_line")
+            lines = _in_order(spark.read.text(source)).where(F.trim("value") != "")
+            of_file = F.col(f"{ROW_ORDER}.file_path")
+            heads = lines.groupBy(of_file).agg(F.min(ROW_ORDER).alias("head"))
+            first = lines.orderBy(ROW_ORDER).first()
+            if first is None:
+                raise ValueError("CSV text is empty")
+            lines = lines.join(heads, F.col(ROW_ORDER) == F.col("head"), "left_anti")
+            df = import_lines(lines, delim, header=first["value"], **common)
+            return df if keep_order else df.drop(ROW_ORDER)
+        options = {"sep": delim, "header": True, "multiLine": multi_line, **options}
+        names = spark.read.options(**options).csv(source).columns
+        folders = spark.read.schema(f"{_SURPLUS} string").csv(source).columns[1:]
+        named = [n for n in names if n not in folders]
+        wide = ", ".join(f"{quoted(n)} string" for n in [*named, _SURPLUS])
+        raw = spark.read.options(**options).schema(wide).csv(source)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise ValueError(f"CSV file not found at: {source}") from error
         raise
-    return _typed(raw, missing_strings, schema, infer)
+    raw = _in_order(raw) if keep_order else raw
+    return _typed(_cut(raw, surplus), missing_strings, schema, infer)
 
 
 def import_lines(
@@ -72,32 +101,74 @@ def import_lines(
     schema: T.StructType | str | None = None,
     infer: bool = True,
     header: str | None = None,
+    repeated_header: bool = False,
+    surplus: str = "error",
     **options,
 ) -> DataFrame:
-    """Parse a one-column DataFrame of CSV records.
+    """Parse a DataFrame of CSV records in its first column.
 
-    The first record is the header unless ``header`` gives it; records equal to it
-    are left out, so the parts of a split file may each repeat it.
+    The first record is the header unless ``header`` gives it.  Only that one record is
+    left out; with ``repeated_header`` all records equal to the header are, as in the parts
+    of a split file.  A column ``ROW_ORDER`` is kept.  Other options as for
+    :func:`import_data`.
     """
-    value = col(lines.columns[0])
-    lines = lines.select(value.alias("value")).where(F.trim("value") != "")
+    options = {**_QUOTES, **options}
+    order = [ROW_ORDER] if ROW_ORDER in lines.columns else []
+    value = col(lines.columns[0]).alias("value")
+    at = F.monotonically_increasing_id().alias("__at")
+    lines = lines.select(value, at, *order).where(F.trim("value") != "")
     if header is None:
         first = lines.first()
         if first is None:
             raise ValueError("CSV text is empty")
         header = first["value"]
-    records = lines.where(F.col("value") != header)
+        lines = lines.where(F.col("__at") != first["__at"])
+    if repeated_header:
+        lines = lines.where(F.col("value") != header)
     text = F.col("value")
     if ignore_repeated:
-        text = _squeezed(text, delim)
-    names = _header_names(header, delim, options.get("quote", '"'), ignore_repeated)
+        text = _squeezed(text, delim, options["quote"])
+    names = _header_names(header, delim, options["quote"], ignore_repeated)
     parsed = F.from_csv(
         text,
-        ", ".join(f"{quoted(n)} string" for n in names),
+        ", ".join(f"{quoted(n)} string" for n in [*names, _SURPLUS]),
         {"sep": delim, **{k: str(v) for k, v in options.items()}},
     )
-    raw = records.select(parsed.alias("record")).select("record.*")
-    return _typed(raw, missing_strings, schema, infer)
+    raw = lines.select(parsed.alias("record"), *order).select("record.*", *order)
+    return _typed(_cut(raw, surplus), missing_strings, schema, infer)
+
+
+def _in_order(df: DataFrame) -> DataFrame:
+    """Note down file, block and place of each row of a scan."""
+    place = F.struct(
+        "_metadata.file_path",
+        "_metadata.file_block_start",
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return df.select("*", place.alias(ROW_ORDER))
+
+
+def _cut(raw: DataFrame, surplus: str) -> DataFrame:
+    """Drop the column behind those of the header, or fail where it has a value."""
+    if surplus == "error":
+        message = F.concat(F.lit("A CSV record has more fields than the header: "), _SURPLUS)
+        failed = F.when(F.col(_SURPLUS).isNotNull(), F.raise_error(message).cast("boolean"))
+        raw = raw.where(F.coalesce(failed, F.lit(True)))
+    return raw.drop(_SURPLUS)
+
+
+def _refuse_open_quotes(lines: DataFrame, delim: str, quote: str) -> None:
+    """An error if a value in quotes runs over the end of its line."""
+    if not quote:
+        return
+    marks = F.length("value") - F.length(F.translate("value", quote, ""))
+    begins = F.col("value").rlike(f"(^|{re.escape(delim)}){re.escape(quote)}")
+    broken = lines.where((marks % 2 == 1) & begins).take(1)
+    if broken:
+        raise ValueError(
+            f"A quoted value runs over a line end: {broken[0]['value'][:80]!r}; "
+            "read the file with multi_line=True"
+        )
 
 
 def export_cleaned(
@@ -112,14 +183,18 @@ def export_cleaned(
 ) -> None:
     """Write ``df`` to the folder ``path``, one file per partition.
 
-    ``partition_by`` writes one sub-folder per value, e.g. one per year.  Nulls and
-    empty strings both read back from CSV as null; Parquet keeps them apart.
+    ``partition_by`` writes one sub-folder per value, e.g. one per year.  Quotes, line
+    ends and blanks in CSV values are written so that :func:`import_data` gives them back
+    (line ends with ``multi_line``).  Nulls and empty strings both read back from CSV as
+    null; Parquet keeps them apart.
     """
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if format == "csv":
-        writer.options(**{"header": True, "sep": delim, **options}).csv(path)
+        blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        plain = {"header": True, "sep": delim, **_QUOTES, **blanks}
+        writer.options(**{**plain, **options}).csv(path)
     elif format == "parquet":
         writer.options(**options).parquet(path)
     else:
@@ -181,29 +256,41 @@ def _typed(raw: DataFrame, missing_strings, schema, infer: bool) -> DataFrame:
             ]
         )
     if schema is not None:
-        if isinstance(schema, str):
-            schema = T.StructType.fromDDL(schema)
-        return raw.select(
-            *[
-                col(n).try_cast(f.dataType).alias(f.name)
-                for n, f in zip(raw.columns, schema)
-            ]
-        )
+        return _as_given(raw, schema)
     return infer_csv_types(raw) if infer else raw
 
 
-def _squeezed(text: Column, delim: str) -> Column:
-    """One delimiter for each run of them outside quotes, none at the ends."""
-    d = f"(?:{re.escape(delim)})"
-    outside = '(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    plain = F.regexp_replace(text, f"{d}+", _replacement(delim))
-    quoted = F.regexp_replace(text, f"{d}+{outside}", _replacement(delim))
-    squeezed = F.when(text.contains('"'), quoted).otherwise(plain)
-    return F.regexp_replace(squeezed, f"^{d}|{d}$", "")
+def _as_given(raw: DataFrame, schema) -> DataFrame:
+    """``raw`` with the columns and types of ``schema``, matched by name."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    present = [c for c in raw.columns if c != ROW_ORDER]
+    absent = [n for n in schema.fieldNames() if n not in present]
+    unknown = [n for n in present if n not in schema.fieldNames()]
+    if absent or unknown:
+        raise ValueError(f"The schema misses columns {unknown} and has others: {absent}")
+    columns = []
+    for field in schema:
+        value, kind = col(field.name), field.dataType
+        typed = value.try_cast(kind)
+        message = F.concat(F.lit(f"Not of type {kind.simpleString()} in {field.name}: "), value)
+        misfit = value.isNotNull() & typed.isNull()
+        columns.append(F.when(misfit, F.raise_error(message).cast(kind)).otherwise(typed).alias(field.name))
+    return raw.select(*columns, *[c for c in raw.columns if c == ROW_ORDER])
 
 
-def _replacement(delim: str) -> str:
-    return delim.replace("\\", "\\\\").replace("$", "\\$")
+def _squeezed(text: Column, delim: str, quote: str) -> Column:
+    """One delimiter for each run of them outside quotes, none at the ends."""
+    d, q = f"(?:{re.escape(delim)})", re.escape(quote)
+    plain = f"(?:(?!{d})[^{q}])+" if quote else f"(?:(?!{d}).)+"
+    parts = f"{q}[^{q}]*{q}?|{plain}|{d}+" if quote else f"{plain}|{d}+"
+    found = F.regexp_extract_all(text, F.lit(f"(?s){parts}"), F.lit(0))
+    run = lambda part: part.startswith(delim)
+    found = F.transform(found, lambda part: F.when(run(part), F.lit(delim)).otherwise(part))
+    first = F.when(run(F.get(found, F.lit(0))), 2).otherwise(1)
+    last = F.when(run(F.element_at(found, -1)), 1).otherwise(0)
+    length = F.greatest(F.size(found) - first + 1 - last, F.lit(0))
+    return F.when(text == "", text).otherwise(F.array_join(F.slice(found, first, length), ""))
 
 
 def _header_names(header: str, delim: str, quote: str, ignore_repeated: bool) -> list[str]:
@@ -216,12 +303,12 @@ def _header_names(header: str, delim: str, quote: str, ignore_repeated: bool) ->
     return [name or f"_c{i}" for i, name in enumerate(names)]
 
 
-def _records(text: str) -> list[str]:
+def _records(text: str, quote: str = '"') -> list[str]:
     """Lines of a CSV text, joined where a quoted value runs over a line end."""
     records, open_record = [], ""
     for line in text.splitlines(keepends=True):
         open_record += line
-        if open_record.count('"') % 2 == 0:
+        if open_record.count(quote) % 2 == 0:
             records.append(open_record.rstrip("\r\n"))
             open_record = ""
     if open_record:

@@ -24,7 +24,9 @@ def test_keep_first_and_drop_all(df):
     assert kept(first, "pos") == [1, 3, 4, 7]
     last = sc.keep_first(df, ["a"], order_by=[F.col("pos").desc()])
     assert kept(last, "pos") == [2, 3, 6, 7]
-    assert kept(sc.keep_first(df.coalesce(1), ["a"]), "pos") == [1, 3, 4, 7]
+    with pytest.raises(ValueError, match="order_by"):
+        sc.keep_first(df, ["a"])
+    assert sc.keep_first(df.drop("pos"), ["b", "a"]).count() == 6  # all columns
 
 
 def test_protected_rows(spark, df):

@@ -20,7 +20,7 @@ def lines(spark):
 
 
 def test_kept_keys(lines):
-    first, single = sc.keep_first(lines, KEY), sc.drop_all(lines, KEY)
+    first, single = sc.keep_first(lines, KEY, order_by=lines.columns), sc.drop_all(lines, KEY)
     keys = lines.select(*KEY).distinct()
     assert first.count() == keys.count()
     assert keys.exceptAll(first.select(*KEY)).count() == 0

@@ -1,5 +1,7 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 import scourline as sc
 
 SALARY_DDL = """work_year int, experience_level string, employment_type string,
@@ -45,12 +47,14 @@ def test_standard_names_of_many_and_collisions(spark):
     assert [d.columns for d in named] == [["my_col"], ["other_col"]]
     with pytest.raises(ValueError, match="collide"):
         sc.standardize_colnames(spark.createDataFrame([(1, 2)], "`a b` int, `A-B` int"))
+    with pytest.raises(ValueError, match="Nothing is left"):
+        sc.standardize_colnames(spark.createDataFrame([(1,)], "`€` int"))
 
 
 def test_names_with_dots_survive_every_step(spark):
     df = spark.createDataFrame(
         [(1.0, "a"), (None, "a"), (3.0, None)], "`a.b` double, `c d` string"
     )
-    out = sc.impute_missing(sc.enforce_types(sc.keep_first(df, ["a.b"])))
+    out = sc.impute_missing(sc.enforce_types(sc.keep_first(df, ["a.b"], order_by=[F.col("`c d`")])))
     out = sc.winsorize(out)
     assert sorted(out.collect()) == [(1.1, "a"), (2.0, "a"), (2.9, "a")]
