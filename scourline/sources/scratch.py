@@ -15,12 +15,12 @@ _paths: list[str] = []
 def scratch_root(spark: SparkSession) -> str | None:
     """The shared folder of the cluster, or null where there is none to use.
 
-    ``spark.checkpoint.dir`` (or the checkpoint directory of the context) decides.
-    Only a local session without either gets a temporary folder of its own, since a
+    The checkpoint directory of the context decides: the one that the program set, else
+    the one of ``spark.checkpoint.dir``.  Only a local session without either gets a temporary folder of its own, since a
     folder of one machine is of no use to the executors of a cluster.
     """
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    root = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if root is None and context.master.startswith("local"):
         root = tempfile.mkdtemp(prefix="scourline-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
@@ -34,25 +34,32 @@ def written(df: DataFrame) -> DataFrame:
 
     Later passes then read only the columns they need from storage that outlives
     lost executors, instead of running the plan of ``df`` again.  Column metadata is
-    kept.  Without a shared folder ``df`` is returned as it is.
+    kept.  On a cluster without a shared folder this is an error: passes over a plan that
+    is run anew each time need not see the same rows.
     """
     root = scratch_root(df.sparkSession)
     if root is None:
-        return df
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{root.rstrip('/')}/scourline-{uuid.uuid4().hex}"
     _paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard_written(spark: SparkSession) -> int:
+def written_so_far() -> int:
+    """A mark for :func:`discard_written`: what is written later lies behind it."""
+    return len(_paths)
+
+
+def discard_written(spark: SparkSession, since: int = 0) -> int:
     """Delete the tables this program has written so, once their results are used.
 
-    Returns how many.  DataFrames that still read them fail afterwards.
+    ``since`` is a mark of :func:`written_so_far`.  Returns how many were deleted.
+    DataFrames that still read them fail afterwards.
     """
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    count = len(_paths)
-    while _paths:
+    count = max(len(_paths) - since, 0)
+    while len(_paths) > since:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_paths.pop())
         path.getFileSystem(hadoop).delete(path, True)
     return count
