@@ -26,6 +26,11 @@ _VARIANTS = {"exact": lambda c: c, "upper": F.upper, "lower": F.lower}
 
 def checked_dimension(dim: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
     """Refuse repeated keys, and broadcast the table only if it is known small."""
+    return F.broadcast(dim) if checked_small(dim, keys, what) else dim
+
+
+def checked_small(dim: DataFrame, keys: Sequence[str], what: str) -> bool:
+    """Refuse repeated keys; true if the table is small enough for a broadcast."""
     width = "octet_length(concat_ws('', {}))".format(
         ", ".join(f"CAST({quoted(c)} AS STRING)" for c in dim.columns)
     )
@@ -35,7 +40,7 @@ def checked_dimension(dim: DataFrame, keys: Sequence[str], what: str) -> DataFra
     rows, most, size = per_key.agg(F.sum("n"), F.max("n"), F.sum("bytes")).first()
     if most is not None and most > 1:
         raise ValueError(f"{what} has repeated keys in ({', '.join(keys)})")
-    return F.broadcast(dim) if _small(rows or 0, size or 0) else dim
+    return _small(rows or 0, size or 0)
 
 
 def _small(rows: int, size: int) -> bool:
@@ -87,12 +92,26 @@ def add_lookup(
             )
         keys, codes = pa.array(mapping.keys(), pa.string()), pa.array(mapping.values(), pa.string())
         dim = df.sparkSession.createDataFrame(pa.table({"key": keys, "code": codes}))
-        if _small(len(mapping), keys.nbytes + codes.nbytes):
-            dim = F.broadcast(dim)
+        small = _small(len(mapping), keys.nbytes + codes.nbytes)
     else:
-        needed = mapping.select("key", *dict.fromkeys(out.values()))
-        dim = checked_dimension(needed, ["key"], "mapping")
-    return _join_lookup(df, value, dim, out, variants)
+        dim = mapping.select("key", *dict.fromkeys(out.values()))
+        small = checked_small(dim, ["key"], "mapping")
+    if small:
+        return _join_lookup(df, value, F.broadcast(dim), out, variants)
+    return _distinct_lookup(df, value, dim, out, variants)
+
+
+def _distinct_lookup(df, value, dim, out, variants) -> DataFrame:
+    """Look up each distinct value once, in all spellings; the rows are joined once."""
+    raw = "__lookup_raw"
+    rows = df.withColumn(raw, value)
+    values = rows.select(raw).where(F.col(raw).isNotNull()).distinct()
+    found = _join_lookup(values, F.col(raw), dim, out, variants)
+    named = {name: f"__found_{i}" for i, name in enumerate(out)}
+    found = found.select(F.col(raw).alias("__lookup_found"), *[col(n).alias(t) for n, t in named.items()])
+    others = [c for c in df.columns if c not in out]
+    joined = rows.join(found, F.col(raw) == F.col("__lookup_found"), "left")
+    return joined.select(*cols(others), *[col(t).alias(n) for n, t in named.items()])
 
 
 def _map_lookup(value: Column, mapping, variants) -> Column:

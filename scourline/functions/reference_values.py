@@ -177,17 +177,30 @@ JOB_TITLE_BUCKETS = {
 
 ISO2_BY_REGION = {
     "Europe": (
-        "AL AT BA BE BG BY CH CY CZ DE DK EE ES FI FR GB GR HR HU IE IS IT JE "
-        "LT LU LV MD MK MT NL NO PL PT RO RS RU SE SI SK UA XK"
+        "AL", "AT", "BA", "BE", "BG", "BY", "CH", "CY", "CZ", "DE",
+        "DK", "EE", "ES", "FI", "FR", "GB", "GR", "HR", "HU", "IE",
+        "IS", "IT", "JE", "LT", "LU", "LV", "MD", "MK", "MT", "NL",
+        "NO", "PL", "PT", "RO", "RS", "RU", "SE", "SI", "SK", "UA",
+        "XK",
+    ),
+    "South America": (
+        "AR", "BO", "BR", "CL", "CO", "EC", "PE", "UY", "VE",
+    ),
+    "North America": (
+        "BS", "BZ", "CA", "CR", "DO", "MX", "PA", "PR", "US",
+    ),
+    "Africa": (
+        "CF", "CI", "CM", "CV", "DZ", "EG", "ET", "GH", "KE", "MA",
+        "NG", "SN", "TN", "TZ", "UG", "ZA",
     ),
-    "South America": "AR BO BR CL CO EC PE UY VE",
-    "North America": "BS BZ CA CR DO MX PA PR US",
-    "Africa": "CF CI CM CV DZ EG ET GH KE MA NG SN TN TZ UG ZA",
     "Asia": (
-        "AE AM BD CN HK ID IL IN IQ IR JP KP KR KW KZ LA MY PH PK QA SA SG TH TR "
-        "TW UZ VN"
+        "AE", "AM", "BD", "CN", "HK", "ID", "IL", "IN", "IQ", "IR",
+        "JP", "KP", "KR", "KW", "KZ", "LA", "MY", "PH", "PK", "QA",
+        "SA", "SG", "TH", "TR", "TW", "UZ", "VN",
+    ),
+    "Oceania": (
+        "AS", "AU", "NZ",
     ),
-    "Oceania": "AS AU NZ",
 }
 ISO2_WITHOUT_REGION = ("HN",)
 
@@ -249,7 +262,7 @@ COUNTRY_NAME_TO_ISO2 = {
 }
 
 REGION_BY_ISO2 = {
-    code: region for region, codes in ISO2_BY_REGION.items() for code in codes.split()
+    code: region for region, codes in ISO2_BY_REGION.items() for code in codes
 }
 # Two-letter codes stand for themselves; ISO3 codes and names are added to them.
 COUNTRY_TO_ISO2 = {

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -197,13 +198,24 @@ def _fills(df: DataFrame, methods: dict, known: Mapping[str, float]) -> dict:
 def _constant(df: DataFrame, name: str, value: float):
     """``value`` in the type of the column; an error where it does not fit."""
     kind = df.schema[name].dataType
+    misfit = ValueError(f"{value} does not fit column {name} of type {kind.simpleString()}")
     if isinstance(kind, T.IntegralType):
-        if value != int(value):
-            raise ValueError(f"{value} does not fit column {name} of whole numbers")
+        size = _BYTES[type(kind)] * 8 - 1
+        if value != int(value) or not -(2**size) <= value < 2**size:
+            raise misfit
         return int(value)
+    if isinstance(kind, T.DecimalType):
+        exact = Decimal(str(value))
+        step = Decimal(1).scaleb(-kind.scale)
+        if not exact.is_finite() or exact % step or abs(exact) >= 10 ** (kind.precision - kind.scale):
+            raise misfit
+        return exact
     return value
 
 
+_BYTES = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8}
+
+
 def _modes(df: DataFrame, names: Sequence[str]) -> dict[str, str]:
     """Most frequent value of each column, counted in one shuffle.
 
@@ -225,8 +237,10 @@ def _modes(df: DataFrame, names: Sequence[str]) -> dict[str, str]:
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    best = counted.groupBy("column").agg(
-        F.min(F.struct(-F.col("n"), place.alias("place"), F.col("value"))).alias("best")
+    # The highest count by a hash aggregate; only the few values that have it are ordered.
+    most = counted.groupBy("column").agg(F.max("n").alias("n"))
+    best = counted.join(F.broadcast(most), ["column", "n"]).groupBy("column").agg(
+        F.min(F.struct(place.alias("place"), F.col("value"))).alias("best")
     )
     return {
         r["column"]: r["value"] for r in best.select("column", "best.value").collect()

@@ -150,10 +150,8 @@ def _codes(mapping):
     found but empty, so that the raw value stays."""
     if not isinstance(mapping, Mapping):
         return mapping
-    return {
-        key: value.get("code") if isinstance(value, Mapping) else str(value)
-        for key, value in mapping.items()
-    }
+    codes = {k: v.get("code") if isinstance(v, Mapping) else v for k, v in mapping.items()}
+    return {key: None if code is None else str(code) for key, code in codes.items()}
 
 
 def _ordered(df, col, levels, on_invalid, ordinal_col) -> DataFrame:

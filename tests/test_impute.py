@@ -7,8 +7,8 @@ from scourline.functions import is_ordered, levels_of
 from scourline.functions.levels import with_levels
 from pyspark.sql import functions as F
 
-MIXED = [(1.0, "a", True), (None, None, None), (3.0, "a", False)]
-MIXED_DDL = "x_num double, x_str string, x_bool boolean"
+MIXED = [(7.5, "oak", False), (None, None, None), (8.5, "oak", None), (9.5, "elm", False)]
+MIXED_DDL = "height double, tree string, felled boolean"
 
 
 @pytest.fixture
@@ -30,16 +30,16 @@ def one(spark, values, kind, levels=None, ordered=False, **options):
 
 def test_defaults(mixed):
     out = sc.impute_missing(mixed)
-    assert column(out, "x_num") == [1.0, 2.0, 3.0]
-    assert column(out, "x_str") == ["a", "a", "a"]
-    assert column(out, "x_bool") == [True, True, False]
+    assert column(out, "height") == [7.5, 8.5, 8.5, 9.5]
+    assert column(out, "tree") == ["oak", "oak", "oak", "elm"]
+    assert column(out, "felled") == [False] * 4
 
 
 def test_selection(mixed):
-    out = sc.impute_missing(mixed, cols=["x_num", "x_bool"])
-    assert column(out, "x_str") == ["a", None, "a"] and column(out, "x_num")[1] == 2.0
-    assert column(sc.impute_missing(mixed, cols="x_str"), "x_num")[1] is None
-    assert column(sc.impute_missing(mixed, exclude=["x_num"]), "x_num")[1] is None
+    out = sc.impute_missing(mixed, cols=["height", "felled"])
+    assert column(out, "tree")[1] is None and column(out, "height")[1] == 8.5
+    assert column(sc.impute_missing(mixed, cols="tree"), "height")[1] is None
+    assert column(sc.impute_missing(mixed, exclude=["height"]), "height")[1] is None
     with pytest.raises(ValueError, match="Column y not found"):
         sc.impute_missing(mixed, cols=["y"])
     with pytest.raises(ValueError, match="imputation method"):
@@ -56,7 +56,7 @@ def test_numbers(spark):
     assert one(spark, [None, 2.0, None], "double", num_method=zero)[1] == [0.0, 2.0, 0.0]
     assert one(spark, [None, 2], "int", num_method=zero) == ("int", [0, 2], None)
     assert one(spark, [None, None], "int", num_method=zero)[1] == [0, 0]
-    with pytest.raises(ValueError, match="whole numbers"):
+    with pytest.raises(ValueError, match="does not fit column x of type int"):
         one(spark, [None, 2], "int", num_method=sc.NumConstant(1.5))
     assert one(spark, [1.0, None], "float")[0] == "float"
     assert math.isnan(one(spark, [1.0, float("nan"), None], "double")[1][2])
@@ -103,8 +103,26 @@ def test_other_types_and_known_values_stay(spark):
 
 def test_report(mixed):
     report = sc.impute_report(
-        mixed, sc.impute_missing(mixed, exclude=["x_str"]), num_method=sc.NumMean()
+        mixed, sc.impute_missing(mixed, exclude=["tree"]), num_method=sc.NumMean()
     )
     assert sorted(map(tuple, report.collect())) == [
-        ("x_bool", 1, 0, "BoolMajority"), ("x_num", 1, 0, "NumMean"), ("x_str", 1, 1, "CatMode")
+        ("felled", 2, 0, "BoolMajority"), ("height", 1, 0, "NumMean"), ("tree", 1, 1, "CatMode")
     ]
+
+
+def test_constants_fit_their_column(spark):
+    df = spark.createDataFrame([(None,), (1,)], "x int").withColumn(
+        "price", F.col("x").cast("decimal(10,2)")
+    )
+    out = sc.impute_missing(df, cols=["price"], num_method=sc.NumConstant(1.25))
+    assert sorted(map(str, column(out, "price"))) == ["1.00", "1.25"]
+    for name, value in (("price", 1.239), ("price", 1e9), ("x", 2**31), ("x", 0.5)):
+        with pytest.raises(ValueError, match=f"does not fit column {name}"):
+            sc.impute_missing(df, cols=[name], num_method=sc.NumConstant(value))
+
+
+def test_ties_of_modes(spark):
+    values = ["b", "a", None, "b", "a", "c"]
+    assert one(spark, values, "string", cat_method=sc.CatMode())[1][2] == "a"
+    levels = one(spark, values, "string", ["c", "b", "a"], cat_method=sc.CatMode())
+    assert levels[1][2] == "b"

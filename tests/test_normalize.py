@@ -23,10 +23,10 @@ def test_fixed_tables():
 
 
 def test_employment_type(spark):
-    df = column(spark, "employment_type", ["FT", "PT", "CT", "FL", "XX", "ft", None])
+    df = column(spark, "employment_type", ["CT", None, "FL", "ft", "FT", "XX", "PT"])
     out = sc.normalize(df, "employment_type")
     assert got(out, "employment_type") == [
-        "Full-time", "Part-time", "Contract", "Freelance", "XX", "ft", None
+        "Contract", None, "Freelance", "ft", "Full-time", "XX", "Part-time"
     ]
     assert levels_of(out, "employment_type") == list(ref.EMPLOYMENT_TYPES)
     assert not is_ordered(out, "employment_type")
@@ -38,10 +38,10 @@ def test_employment_type(spark):
 
 def test_company_size(spark):
     up = sc.normalize_company_size(
-        column(spark, "company_size", ["S", "M", "L", "M", None]), ordinal_col="o"
+        column(spark, "company_size", ["L", None, "M", "S", "L"]), ordinal_col="o"
     )
     assert levels_of(up, "company_size") == ["S", "M", "L"] and is_ordered(up, "company_size")
-    assert got(up, "o") == [0, 1, 2, 1, None]
+    assert got(up, "o") == [2, None, 1, 0, 2]
     down = sc.normalize_company_size(
         column(spark, "company_size", ["S", "M", "L", "S"]), "descending", ordinal_col="o"
     )
