@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import scourline as sc
+from scourline.functions import lookup
 from scourline.functions import reference_values as ref
 from scourline.functions import snake_case
 from scourline.functions.levels import level_ordinal, levels_of
@@ -495,6 +496,11 @@ def pipe_no_impute(spark, sf_dir):
 
 # --- CSV ----------------------------------------------------------------------
 
+PAD = "case when o_orderkey < 1500 then repeat('pad', 20) else 'x' end"
+ODD_TEXT = """'"' || text || '";' || chr(92) || chr(10) || ' "" ;end '"""
+CUSTOMER = """case when o_orderkey % 3 = 0 then 'cust 1'
+    when o_orderkey % 10 = 1 then null else 'Cust ' || o_custkey end"""
+
 CSV_COLUMNS = ("row_id", "work_year", "salary", "salary_currency", "is_lead")
 
 
@@ -559,6 +565,83 @@ def csv_repeated_delimiters(spark, sf_dir):
 # --- Contract -----------------------------------------------------------------
 
 
+def csv_keep_first_by_key(spark, sf_dir):
+    """The first record of each customer, from a folder of files of unequal size."""
+    path = _fresh_folder(spark, "orders")
+    orders = table(spark, sf_dir, "orders").selectExpr("o_custkey", "o_orderkey", "o_totalprice", f"{PAD} as pad")
+    newest = F.col("o_orderkey").desc()
+    sc.export_cleaned(orders.repartitionByRange(9, newest).sortWithinPartitions(newest), path)
+    return sc.pipeline(path, "light_clean", spark=spark, dedup_by=["o_custkey"])
+
+
+def csv_roundtrip_text(spark, sf_dir):
+    """Texts with quotes, delimiters, backslashes and line ends."""
+    path = _fresh_folder(spark, "texts")
+    texts = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{ODD_TEXT} as odd")
+    sc.export_cleaned(texts, path, ";")
+    return sc.import_data(spark, path, ";", multi_line=True)
+
+
+def range_report_single(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    checks = {"l_discount": lambda c: c < 0.05, "l_quantity": lambda c: c <= 50}
+    found = [(name, sc.check_column(lines, name, test)) for name, test in checks.items()]
+    return spark.createDataFrame(found, "variables string, valid_mask boolean")
+
+
+def plausible_year(spark, sf_dir):
+    salaries = dirty_salaries(spark, sf_dir, "row_id", "work_year")
+    return salaries.withColumn("plausible", sc.plausible_year(2021, 2023)(F.col("work_year")))
+
+
+def enforce_blank_column(spark, sf_dir):
+    """A column of blanks stays as it is; one without values too."""
+    blank = F.when(F.col("o_orderkey") % 2 == 0, "  ")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", blank.alias("blank"))
+    return sc.enforce_types(orders.withColumn("nothing", F.lit(None).cast("string")))
+
+
+def export_frame(spark, sf_dir):
+    """A frame through a preset into a file, and back from there."""
+    out = _fresh_folder(spark, "frame")
+    frame = dirty_salaries(spark, sf_dir, "row_id", "salary_currency", "remote_ratio")
+    return sc.export_pipeline(frame, "minimal", out, export_delim="|")
+
+
+def impute_mode_tie(spark, sf_dir):
+    """Two values are equally frequent: the smaller one fills."""
+    tied = F.when(F.col("n_nationkey") < 6, "b").when(F.col("n_nationkey") < 12, "a")
+    return sc.impute_missing(table(spark, sf_dir, "nation").select("n_nationkey", tied.alias("tied")))
+
+
+def standardize_many(spark, sf_dir):
+    first = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("The Key"))
+    second = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("the-key"))
+    one, two = sc.standardize_colnames([first, second])
+    return one.unionByName(two)
+
+
+def strict_clean_nan(spark, sf_dir):
+    """NaN as a missing value in a strict clean."""
+    salary = F.when(F.col("o_orderkey") % 9 == 0, float("nan")).otherwise(F.col("o_totalprice"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", salary.alias("salary"))
+    out = sc.pipeline(rows, "strict_clean", dedup_by=["o_orderkey"], nan_as_null=True)
+    return _rounded(out, "o_orderkey", "salary")
+
+
+def mapping_join_large(spark, sf_dir):
+    """A mapping beyond the limit of a broadcast; a third of the values are one, some null."""
+    keys = table(spark, sf_dir, "customer").selectExpr(
+        "'cust ' || c_custkey as key", "'segment ' || c_nationkey as code"
+    )
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{CUSTOMER} as job_title")
+    limit, lookup.BROADCAST_ROWS_MAX = lookup.BROADCAST_ROWS_MAX, 10
+    try:
+        return sc.normalize_job_title(orders, mapping=keys)
+    finally:
+        lookup.BROADCAST_ROWS_MAX = limit
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """USD totals by year and currency."""
     return usd_by_year_currency(spark, "/root/testdata/sf0.001")
@@ -583,7 +666,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         pipe_minimal, pipe_light_clean, pipe_strict_clean, pipe_ml_ready,
         pipe_currency_focus, pipe_no_impute,
         csv_roundtrip, csv_export_by_year, csv_export_pipeline, csv_lines,
-        csv_repeated_delimiters,
+        csv_repeated_delimiters, csv_keep_first_by_key, csv_roundtrip_text,
+        range_report_single, plausible_year, enforce_blank_column, export_frame,
+        impute_mode_tie, standardize_many, strict_clean_nan, mapping_join_large,
     ]
     found = {query.__name__: query for query in listed}
     if corpus:
@@ -867,6 +952,35 @@ def oracle_sql() -> dict[str, str]:
             salary, salary_currency, is_lead from ({dirty_sql(*CSV_COLUMNS)}) d""",
         "csv_repeated_delimiters": """select p_partkey, p_name,
             cast(p_size as bigint) as p_size from part""",
+        "csv_keep_first_by_key": f"""select o_custkey, o_orderkey, o_totalprice,
+            {PAD} as pad from orders
+            qualify row_number() over (partition by o_custkey order by o_orderkey desc) = 1""",
+        "csv_roundtrip_text": f"select doc_id, {ODD_TEXT} as odd from documents",
+        "range_report_single": f"""{check("l_discount", "l_discount < 0.05", "lineitem")}
+            union all {check("l_quantity", "l_quantity <= 50", "lineitem")}""",
+        "plausible_year": f"""select *, work_year between 2021 and 2023 as plausible
+            from ({dirty_sql("row_id", "work_year")}) d""",
+        "enforce_blank_column": """select o_orderkey,
+            case when o_orderkey % 2 = 0 then '  ' end as blank,
+            cast(null as varchar) as nothing from orders""",
+        "export_frame": f"select * from ({dirty_sql('row_id', 'salary_currency', 'remote_ratio')}) d",
+        "impute_mode_tie": """select n_nationkey, case when n_nationkey >= 6 then 'a'
+            else 'b' end as tied from nation""",
+        "standardize_many": """select n_nationkey as the_key from nation
+            union all select r_regionkey from region""",
+        "strict_clean_nan": _rounded_sql(
+            f"""with d as (select o_orderkey,
+                case when o_orderkey % 9 <> 0 then o_totalprice end as salary from orders),
+            w as (select {_clamp_sql("o_orderkey", 0.05, 0.95, "d")} as o_orderkey,
+                {_clamp_sql("salary", 0.05, 0.95, "d")} as salary from d)
+            select o_orderkey, coalesce(salary, (select median(salary) from w)) as salary
+            from w""",
+            "o_orderkey", "salary",
+        ),
+        "mapping_join_large": f"""select o_orderkey,
+            coalesce('segment ' || c_nationkey, o.title) as job_title
+            from (select o_orderkey, {CUSTOMER} as title from orders) o
+            left join customer on lower(o.title) = 'cust ' || c_custkey""",
     }
     if corpus:
         found |= corpus.ORACLES
