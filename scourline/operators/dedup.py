@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import col, cols
+from ..sources.scratch import written_if_costly
 from .schema import ROW_ORDER, require_columns
 
 _NTH = "__nth"
@@ -54,6 +55,10 @@ def deduplicate_rows(
         raise ValueError(
             "keep_first by some columns needs order_by, or rows imported with keep_order"
         )
+    if protect is None and (protect_keys is not None or protect_col is not None):
+        # Read two or three times below, so what is more than a scan is written once.  (A
+        # condition may be bound to the frame as it is.)
+        df = written_if_costly(df)
     if mode == "keep_first":
         kept = _first_rows(df, by, order_by)
     elif mode == "drop_all":

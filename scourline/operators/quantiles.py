@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import double_literal, quoted
+from ..sources.scratch import written_if_costly
 
 _LUCK = "luck"
 # Values to sample per bracket, for small and large ones.
@@ -93,7 +94,9 @@ def exact_quantiles(
             columns.append(f"isnan({quoted(name)}) AS nan_{short[name]}")
             value = f"CASE WHEN NOT isnan({quoted(name)}) THEN {value} END"
         columns.append(f"{value} AS {short[name]}")
-    values = df.selectExpr(*columns)
+    # Every pass reads the input anew: a plan beyond a scan runs once and is written, with
+    # the columns that count.
+    values = written_if_costly(df.selectExpr(*columns))
     rows = values.count()
     found = {}
     for some in batched(wanted, _BATCH):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -46,6 +47,25 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: What makes a plan dear to run again: all that shuffles, sorts, multiplies rows or
+#: leaves the JVM.
+_COSTLY = re.compile(
+    r"^[ :+|-]*(Join|Aggregate|Window|WindowGroupLimit|Sort|Generate|Expand|Distinct|"
+    r"Deduplicate|Repartition\w*|RebalancePartitions|\w*Python\w*|\w*Pandas|\w*Arrow)\b",
+    re.MULTILINE,
+)
+
+
+def is_costly(df: DataFrame) -> bool:
+    """Is there more to ``df`` than scans, projections, filters and unions?"""
+    return bool(_COSTLY.search(df._jdf.queryExecution().optimizedPlan().toString()))
+
+
+def written_if_costly(df: DataFrame) -> DataFrame:
+    """``df``, written first where several passes would repeat more than a scan."""
+    return written(df) if is_costly(df) else df
+
+
 def written_so_far() -> int:
     """A mark for :func:`discard_written`: what is written later lies behind it."""
     return len(_paths)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import scourline as sc
 from scourline.functions import lookup
+from scourline.sources.scratch import discard_written, is_costly, written_so_far
 
 SF_DIR = "/root/testdata/sf0.001"
 KEY = ["l_orderkey", "l_linenumber"]
@@ -92,3 +93,19 @@ def test_large_mappings_are_not_broadcast(spark, monkeypatch):
         plain = sc.normalize_job_title(df, mapping=given)
         assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString().lower()
         assert sorted(r[0] for r in plain.collect()) == ["B", "x"]
+
+
+def test_costly_inputs_run_once(spark, lines):
+    """Operators of several passes write what is more than a scan, and only that."""
+    assert not is_costly(lines.where("l_quantity > 3").select("l_orderkey"))
+    joined = lines.join(lines.select("l_orderkey").distinct(), "l_orderkey")
+    assert is_costly(joined) and is_costly(lines.distinct())
+    before = written_so_far()
+    capped = sc.winsorize(joined, cols=["l_extendedprice"])
+    assert written_so_far() == before + 1
+    sc.winsorize(lines, cols=["l_extendedprice"])
+    keys = lines.select("l_orderkey").where("l_orderkey < 5")
+    kept = sc.drop_all(joined, KEY, protect_keys=keys)
+    assert written_so_far() == before + 2
+    assert capped.count() == joined.count() and kept.count() <= joined.count()
+    assert discard_written(spark, before) == 2
