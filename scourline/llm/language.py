@@ -24,6 +24,7 @@ LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
 SIZES, BITS = (3,), 16
 SAMPLE = 800  # the most texts of a language that the trigrams are learned from
+SAMPLE_PARTS = 256
 SMOOTH = 0.1
 OVERLAP = 6.0  # a trigram shares most of its letters with its neighbours
 HOST_WEIGHT, SUFFIX_WEIGHT, DECLARED_WEIGHT = 5.0, 20.0, 1.0
@@ -59,9 +60,12 @@ def learn_trigrams(labelled: DataFrame, languages: Sequence[str] = LANGUAGES) ->
     texts are read, the first by a hash of their id; so the counts that reach the driver are
     bounded too.  Without texts of a language it has the likelihood of noise.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = labelled.select("doc_id", "lang").where(F.col("lang").isin(list(languages)))
-    picked = picked.where("doc_id is not null").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE)
+    ids = labelled.select("doc_id", "lang").where(F.col("lang").isin(list(languages)))
+    picked = ids.where("doc_id is not null").distinct().withColumn("luck", F.xxhash64("doc_id"))
+    # First within parts of each language, so that a frequent one never meets in one task.
+    for by in (["lang", F.pmod("luck", F.lit(SAMPLE_PARTS))], ["lang"]):
+        order = Window.partitionBy(*by).orderBy("luck", "doc_id")
+        picked = picked.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE)
     picked = stored(picked.select("doc_id", "lang"), "labelled")
     texts = labelled.select("doc_id", "lang", "text").join(F.broadcast(picked), ["doc_id", "lang"])
 
