@@ -287,4 +287,5 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The columns of ``docs``, one row of each class of near duplicates."""
     rows = rows_of(docs)
     stay = near_duplicates(rows).where("stays").select("row")
-    return rows.join(stored(stay, "stay"), "row").select("doc.*")
+    # A merge join at every size: both sides grow with the documents.
+    return rows.join(stored(stay, "stay").hint("merge"), "row").select("doc.*")
