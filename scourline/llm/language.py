@@ -13,6 +13,7 @@ import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -87,11 +88,20 @@ def learn_trigrams(labelled: DataFrame, languages: Sequence[str] = LANGUAGES) ->
     return np.log(total / total.sum(axis=0)).astype(np.float32)
 
 
-def _scored(table: np.ndarray, markup: bool, schema):
-    """Adds ``likelihood``, tempered log likelihoods, to rows with ``text``."""
+def _shares(logs: np.ndarray) -> np.ndarray:
+    """Rows of log weights as shares."""
+    odds = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return odds / odds.sum(axis=1, keepdims=True)
+
+
+def _scored(rows: DataFrame, keep: list[str], table: np.ndarray, markup: bool) -> DataFrame:
+    """Columns of rows with ``text``, tempered log ``_likelihood`` and the shares ``_text``."""
+
+    def arrays(values: np.ndarray) -> pa.Array:
+        ends = pa.array(np.arange(len(values) + 1) * values.shape[1], pa.int32())
+        return pa.ListArray.from_arrays(ends, pa.array(values.ravel(), pa.float64()))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = table.shape[1]
         for batch in batches:
             for low in range(0, batch.num_rows, 128):
                 piece = batch.slice(low, 128)
@@ -99,37 +109,46 @@ def _scored(table: np.ndarray, markup: bool, schema):
                 if markup:
                     texts = [visible_text(t) for t in texts]
                 bucket, owner = grams(texts, SIZES, BITS)
-                sums = [np.bincount(owner, table[bucket, k], len(texts)) for k in range(kinds)]
-                flat = (np.stack(sums, axis=1) / OVERLAP).ravel()
-                ends = pa.array(np.arange(len(texts) + 1) * kinds, pa.int32())
-                column = pa.ListArray.from_arrays(ends, pa.array(flat, pa.float64()))
-                names = piece.schema.names
-                yield pa.RecordBatch.from_arrays([*piece.columns, column], names=[*names, "likelihood"])
+                sums = [np.bincount(owner, row[bucket], len(texts)) for row in table.T]
+                logs = np.stack(sums, axis=1) / OVERLAP
+                yield pa.RecordBatch.from_arrays(
+                    [*[piece[c] for c in keep], arrays(logs), arrays(_shares(logs))],
+                    names=[*keep, "_likelihood", "_text"],
+                )
 
-    return score
+    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    schema += ", `_likelihood` array<double>, `_text` array<double>"
+    return rows.select(*dict.fromkeys(["text", *keep])).mapInArrow(score, schema)
 
 
-def _softmax(logs: Column) -> Column:
-    terms = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-    return F.transform(terms, lambda t: t / _total(terms))
+def _fused(names: list[str], prior: np.ndarray, known: np.ndarray):
+    """Decides rows from their likelihoods and the counts of their groups."""
 
+    @F.pandas_udf("language string, confidence double, by_text string")
+    def fuse(likelihood: pd.Series, suffix: pd.Series, host: pd.Series, declared: pd.Series) -> pd.DataFrame:
+        logs = np.stack(likelihood.to_list())
+        own = _shares(logs)
 
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+        def others(counts: pd.Series) -> np.ndarray:
+            """Counts of a group without the row itself; none for rows without a group."""
+            full = [o if c is None else c for c, o in zip(counts, own)]
+            return np.maximum(np.stack(full) - own, 0.0)
 
+        def drawn(counts: np.ndarray, towards: np.ndarray, weight: float) -> np.ndarray:
+            return (counts + weight * towards) / (counts.sum(axis=1, keepdims=True) + weight)
 
-def _others(counts: str) -> Column:
-    """Counts of a group without the row itself; none for rows without a group."""
-    return F.zip_with(
-        F.coalesce(F.col(counts), F.col("_text")), "_text", lambda n, p: F.greatest(n - p, F.lit(0.0))
-    )
+        by_host = drawn(others(host), drawn(others(suffix), prior, SUFFIX_WEIGHT), HOST_WEIGHT)
+        said = np.log((others(declared) + DECLARED_WEIGHT) / known)
+        said[declared.isna().to_numpy()] = 0.0
+        every = _shares(logs + np.log(np.maximum(by_host, FLOOR)) + said)
+        silent = ~logs.any(axis=1)
 
+        def best(shares: np.ndarray) -> np.ndarray:
+            return np.where(silent, UNKNOWN, np.array(names)[shares.argmax(axis=1)])
 
-def _drawn(counts: str, prior: Column, weight: float) -> Column:
-    """Shares of ``counts``, drawn towards ``prior`` as by ``weight`` further rows."""
-    return F.zip_with(
-        F.col(counts), prior, lambda n, p: (n + weight * p) / (_total(F.col(counts)) + weight)
-    )
+        return pd.DataFrame({"language": best(every), "confidence": every.max(axis=1), "by_text": best(own)})
+
+    return fuse.asNondeterministic()  # or a filter would have it run twice
 
 
 def identify(
@@ -138,8 +157,8 @@ def identify(
     """``rows`` with ``language``, ``confidence`` and ``by_text`` (of the text alone).
 
     ``rows`` has ``text`` (markup if ``markup``) and the evidence ``declared``, ``suffix``
-    and ``host``; further columns are kept, but ``likelihood`` and names that begin with
-    ``_`` are this function's own.
+    and ``host``; further columns are kept, but names that begin with ``_`` are this
+    function's own.
 
     The language is ``und`` where noise explains the text better than any language, or
     where it has no trigrams at all (null, empty, blank).  Null evidence says nothing:
@@ -147,10 +166,8 @@ def identify(
     each count.  An empty table gives an empty one.
     """
     names = [*languages, UNKNOWN]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    scored = rows.mapInArrow(_scored(table, markup, schema), f"{schema}, likelihood array<double>")
-    scored = scored.withColumn("_text", _softmax(F.col("likelihood")))
-    light = scored.select("suffix", "host", "declared", "_text")
+    scored = _scored(rows, rows.columns, table, markup)
+    light = _scored(rows, ["suffix", "host", "declared"], table, markup)
     soft = [F.element_at("_text", k + 1).alias(f"_p{k}") for k in range(len(names))]
     sums = [F.sum(f"_p{k}").alias(f"_s{k}") for k in range(len(names))]
     base = light.select("suffix", "host", "declared", *soft)
@@ -171,29 +188,9 @@ def identify(
         .join(declared, F.col("declared") == F.col("_declared"), "left")
     )
 
-    total = sum(whole) + len(names)
-    prior = F.array(*[F.lit((n + 1) / total) for n in whole])
-    known = F.array(*[F.lit(n + DECLARED_WEIGHT * (kinds + 1)) for n in whole])
-    judged = judged.select(
-        *[F.col(f"`{c}`") for c in rows.columns], "likelihood", "_text", "_declared",
-        _others("_suffix_n").alias("_near"), _others("_suffix_host_n").alias("_own"),
-        _others("_declared_n").alias("_said"),
-    )
-    by_host = _drawn("_own", _drawn("_near", prior, SUFFIX_WEIGHT), HOST_WEIGHT)
-    said = F.zip_with("_said", known, lambda n, m: F.log((n + DECLARED_WEIGHT) / m))
-    evidence = F.zip_with("likelihood", by_host, lambda x, p: x + F.log(F.greatest(p, F.lit(FLOOR))))
-    both = F.zip_with(evidence, said, lambda x, y: x + y)
-    judged = judged.withColumn("_all", F.when(F.col("_declared").isNull(), evidence).otherwise(both))
-    judged = judged.withColumn("_all", _softmax(F.col("_all")))
-
-    def best(column: str) -> Column:
-        at = F.array_position(column, F.array_max(column)).cast("int")
-        return F.element_at(F.array(*[F.lit(n) for n in names]), at)
-
-    silent = F.array_max(F.transform("likelihood", F.abs)) == 0
-    return judged.select(
-        *[F.col(f"`{c}`") for c in rows.columns],
-        F.when(silent, UNKNOWN).otherwise(best("_all")).alias("language"),
-        F.array_max("_all").alias("confidence"),
-        F.when(silent, UNKNOWN).otherwise(best("_text")).alias("by_text"),
-    )
+    whole = np.array(whole, float)
+    prior = (whole + 1) / (whole.sum() + len(names))
+    fuse = _fused(names, prior, whole + DECLARED_WEIGHT * (kinds + 1))
+    told = fuse("_likelihood", "_suffix_n", "_suffix_host_n", "_declared_n").alias("_told")
+    kept = [F.col(f"`{c}`") for c in rows.columns]
+    return judged.select(*kept, told).select(*kept, "_told.language", "_told.confidence", "_told.by_text")
