@@ -43,7 +43,8 @@ def drop_repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         F.min("place").alias("first"), F.max("place").alias("last")
     )
     repeated = stored(counted.where("first != last").select("h1", "h2", "first"), "repeated-lines")
-    later = places.join(repeated, ["h1", "h2"]).where("place != first").select("place.*")
+    # Merge joins at every size: both sides grow with the documents.
+    later = places.join(repeated.hint("merge"), ["h1", "h2"]).where("place != first").select("place.*")
     gone = later.groupBy("key", "key2").agg(F.collect_set("at").alias("starts"))
     gone = stored(gone, "later-lines")
     covered = F.array_distinct(
@@ -51,7 +52,7 @@ def drop_repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
     stays = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), covered)
     kept = F.array_join(F.transform(stays, lambda i: F.get("lines", i)), "\n")
-    found = docs.join(gone, ["key", "key2"], "left").withColumn("lines", F.split("text", "\n"))
+    found = docs.join(gone.hint("merge"), ["key", "key2"], "left").withColumn("lines", F.split("text", "\n"))
     return found.select(
         "doc_id",
         F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
