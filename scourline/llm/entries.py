@@ -12,6 +12,7 @@ from .lines import drop_repeated_lines
 from .ngram_join import near_duplicates, rows_of
 from .sharding import assign_shards
 from .substrings import remove_repeats
+from .token_counts import count_tokens
 from .tokens import tokens_round_trip
 from .vectors import nearest
 from .work import ship_package, stored, table
@@ -20,6 +21,7 @@ from .work import ship_package, stored, table
 MIX = {"source": 0.5, "lang": 0.7, "topic": 0.9}
 MIX_BUDGET = 0.6
 SHARDS = 40
+TOKEN_LIMIT = 1024
 
 
 def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,11 +107,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(rows, MIX, MIX_BUDGET)
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), TOKEN_LIMIT)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_ann, op2_substring_dedup, op3_decontamination, op4_sharding, op5_language_id,
         op6_ngram_join, op7_line_dedup, op8_tokens, op9_toxicity, op10_mixing,
+        op12_token_counts,
     )
 }
 

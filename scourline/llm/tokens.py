@@ -37,7 +37,7 @@ _PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 _PROBES = ("the", "größe", "àáâãäåæçèéêëìíîïðñòóôõö", "øùúûüýþÿ", "q")
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The letter that stands for each byte in byte-level vocabularies: itself where it is
     printable, else the next one from 256 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -60,7 +60,7 @@ class Pieces(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenize = self.tokenizer.model.tokenize
-        self.letters = dict(enumerate(_byte_letters()))
+        self.letters = dict(enumerate(byte_letters()))
         self.old: dict[bytes, bytes] = {}
         self.plain = all(self.by_model(p) == self.by_all(p) for p in map(str.encode, _PROBES))
 

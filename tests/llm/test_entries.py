@@ -70,6 +70,15 @@ def test_token_files(spark, docs):
     assert sorted(map(tuple, entries.op8_tokens(spark, SF_DIR).collect())) == want
 
 
+def test_token_counts(spark, docs):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = []
+    for doc, text in docs:
+        n = len(tokenizer.encode(text or "", add_special_tokens=False).ids)
+        want.append((doc, len((text or "").encode()), n, n > 1024))
+    assert sorted(map(tuple, entries.op12_token_counts(spark, SF_DIR).collect())) == want
+
+
 def test_toxic_documents(spark, docs):
     got = {r.doc_id: r for r in entries.op9_toxicity(spark, SF_DIR).collect()}
     assert set(got) == {d for d, _ in docs}
