@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from . import language, mixing, toxicity
 from .decontaminate import contamination
 from .lines import drop_repeated_lines
+from .manifest import digest_of, manifest
 from .ngram_join import near_duplicates, rows_of
 from .sharding import assign_shards
 from .substrings import remove_repeats
@@ -113,12 +114,35 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), TOKEN_LIMIT)
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of the documents by source; every fifth text is folded in small letters."""
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents")
+    fields = ("doc_id", "source", "lang", "n_chars")
+    rows = docs.select(*fields, "text", F.translate("text", UPPER, LOWER).alias("lower"))
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    found = manifest(
+        rows.select(
+            F.col("doc_id").alias("row"), F.col("source").alias("group"),
+            digest_of(*fields, "text").alias("leaf"),
+            F.when(tampered, digest_of(*fields, "lower")).alias("changed"),
+        )
+    )
+    return found.select(
+        F.col("row").alias("doc_id"), "leaf", "subroot", "root",
+        F.col("proof").alias("proof_sha256"), F.col("folded").alias("folded_root"), "verified",
+    )
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_ann, op2_substring_dedup, op3_decontamination, op4_sharding, op5_language_id,
         op6_ngram_join, op7_line_dedup, op8_tokens, op9_toxicity, op10_mixing,
-        op12_token_counts,
+        op12_token_counts, op13_manifest,
     )
 }
 
@@ -126,6 +150,82 @@ _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+def _crc32(text: str) -> str:
+    """CRC-32 of a text of ASCII letters: its bits go through the register one by one."""
+    step = "(xor(a, b) >> 1)"
+    return f"""xor(list_reduce(list_prepend(cast(4294967295 as bigint), flatten(list_transform(
+        string_split({text}, ''), lambda c: [cast(ord(c) as bigint), 0, 0, 0, 0, 0, 0, 0]))),
+        lambda a, b: xor({step}, 3988292384 * (xor(a, b) & 1))), cast(4294967295 as bigint))"""
+
+
+def _tagged(*values: str) -> str:
+    parts = (
+        f"coalesce(octet_length(encode(cast({v} as varchar))) || ':' || cast({v} as varchar), '-')"
+        for v in values
+    )
+    return f"sha256({' || '.join(parts)})"
+
+
+def _manifest_sql(levels: int) -> str:
+    """Trees of at most ``16 ** levels`` leaves, level by level; sources are a tree as well."""
+    fields = ("doc_id", "source", "lang", "n_chars")
+    steps = [
+        f"""d as (select doc_id, coalesce('=' || source, '') as tree,
+            {_tagged(*fields, 'text')} as leaf,
+            case when {_crc32('cast(doc_id as varchar)')} % 5 = 0
+                then {_tagged(*fields, f"translate(text, '{UPPER}', '{LOWER}')")} end as changed
+            from documents)""",
+        """l0 as (select tree, doc_id, leaf as node, coalesce(changed, leaf) as changed,
+            row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos,
+            count(*) over (partition by tree) as n from d)""",
+    ]
+
+    def grow(name: str, first: str) -> str:
+        for k in range(levels):
+            node = "case when n > 1 then sha256(string_agg(node, '' order by pos)) else min(node) end"
+            steps.append(
+                f"""{name}{k + 1} as (select tree, pos // 16 as pos, {node} as node,
+                (n + 15) // 16 as n from {name}{k} group by tree, pos // 16, n)"""
+            )
+        return f"{name}{levels}"
+
+    subroots = grow("l", "l0")
+    steps.append(
+        f"""t0 as (select '' as tree, tree as name, node,
+            row_number() over (order by tree) - 1 as pos, count(*) over () as n from {subroots})"""
+    )
+    root = grow("t", "t0")
+    steps.append(
+        f"""f0 as (select doc_id, l0.tree, l0.node as leaf, changed as node, pos, '' as proof from l0)"""
+    )
+
+    def fold(name: str, base: str, k: int, tree: str) -> None:
+        mine = f"{base}{k}.pos = f.pos"
+        steps.append(
+            f"""{name} as (select f.doc_id, f.tree, f.leaf,
+            case when min({base}{k}.n) > 1 then sha256(string_agg(
+                case when {mine} then f.node else {base}{k}.node end, '' order by {base}{k}.pos))
+                else min(f.node) end as node, f.pos // 16 as pos, min(f.proof)
+            || coalesce(string_agg({base}{k}.node, '' order by {base}{k}.pos) filter (not {mine}), '') as proof
+            from {tree} f join {base}{k} on {base}{k}.pos // 16 = f.pos // 16
+                and {base}{k}.tree = {"f.tree" if base == "l" else "''"}
+            group by f.doc_id, f.tree, f.leaf, f.pos)"""
+        )
+
+    for k in range(levels):
+        fold(f"f{k + 1}", "l", k, f"f{k}")
+    steps.append(
+        f"""g0 as (select f.doc_id, f.tree, f.leaf, f.node, t0.pos, f.proof
+            from f{levels} f join t0 on t0.name = f.tree)"""
+    )
+    for k in range(levels):
+        fold(f"g{k + 1}", "t", k, f"g{k}")
+    return f"""with {', '.join(steps)}
+        select doc_id, leaf, s.node as subroot, r.node as root, sha256(proof) as proof_sha256,
+            g.node as folded_root, g.node = r.node as verified
+        from g{levels} g join {subroots} s using (tree), {root} r"""
+
+
 ORACLES = {
     "op3_decontamination": f"""with d as (select doc_id, {_WORDS} as w from documents),
         b as (select item_id, {_WORDS} as w from benchmark),
@@ -145,6 +245,7 @@ ORACLES = {
             sha256(coalesce(items, '')) as items_sha256,
             coalesce(n_hit, 0) > 0 as contaminated
         from d left join c using (doc_id) left join m using (doc_id)""",
+    "op13_manifest": _manifest_sql(4),
     "op7_line_dedup": """with l as (select doc_id, string_split(text, chr(10)) as l
             from documents),
         w as (select doc_id, i, array_to_string(l[i:i + 2], chr(10)) as win
