@@ -15,6 +15,7 @@ from .sharding import assign_shards
 from .substrings import remove_repeats
 from .token_counts import count_tokens
 from .tokens import tokens_round_trip
+from .trie import branched, placed_turns, prefix_trie
 from .vectors import nearest
 from .work import ship_package, stored, table
 
@@ -22,6 +23,8 @@ from .work import ship_package, stored, table
 MIX = {"source": 0.5, "lang": 0.7, "topic": 0.9}
 MIX_BUDGET = 0.6
 SHARDS = 40
+#: Conversations in a family, and the most turns that one takes over.
+FAMILY, BRANCH_TURNS = 20, 3
 TOKEN_LIMIT = 1024
 
 
@@ -108,6 +111,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(rows, MIX, MIX_BUDGET)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of the conversations, each begun with turns of the first of its family."""
+    ship_package(spark)
+    turns = placed_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie(*branched(turns, FAMILY, BRANCH_TURNS))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -142,7 +152,7 @@ QUERIES = {
     for query in (
         op1_ann, op2_substring_dedup, op3_decontamination, op4_sharding, op5_language_id,
         op6_ngram_join, op7_line_dedup, op8_tokens, op9_toxicity, op10_mixing,
-        op12_token_counts, op13_manifest,
+        op11_prefix_trie, op12_token_counts, op13_manifest,
     )
 }
 
@@ -245,6 +255,40 @@ ORACLES = {
             sha256(coalesce(items, '')) as items_sha256,
             coalesce(n_hit, 0) > 0 as contaminated
         from d left join c using (doc_id) left join m using (doc_id)""",
+    "op11_prefix_trie": f"""with o as (select conv_id, coalesce(text, '') as text,
+            md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '')
+                || coalesce(text, '')) as turn_digest,
+            row_number() over (partition by conv_id order by turn nulls first, md5(
+                octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '')
+                || coalesce(text, ''))) as place
+            from conversations where conv_id is not null),
+        ids as (select conv_id, conv_id - conv_id % 20 as base,
+            {_crc32("cast(conv_id as varchar)")} % 4 as h from (select distinct conv_id from o) i),
+        rebuilt as (select ids.conv_id, 0 as kind, place, text, turn_digest
+                from ids join o on o.conv_id = base where place <= h
+            union all select o.conv_id, 1, place, text, turn_digest
+                from o join ids using (conv_id) where place > h),
+        placed as (select conv_id, row_number() over w as depth, text,
+            md5(string_agg(turn_digest, '') over w) as k from rebuilt
+            window w as (partition by conv_id order by kind, place)),
+        members as (select conv_id, depth, k, len(regexp_extract_all(text,
+                '[^\x20\x09-\x0D]+')) as n_words from placed
+            union all select conv_id, 0, '', 0 from ids),
+        linked as (select *, lag(k) over (partition by conv_id order by depth) as parent,
+            depth = max(depth) over (partition by conv_id) as ended from members),
+        nodes as (select k, min(conv_id) as conv_id, min(depth) as depth, min(parent) as parent,
+            count(*) as n_convs, (count(*) - 1) * min(n_words) as saved,
+            sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id)
+                filter (ended), '')) as ends_sha256 from linked group by k),
+        kids as (select parent as k, count(*) as n_children from nodes group by 1),
+        whole as (select nodes.*, coalesce(n_children, 0) as n_children
+            from nodes left join kids using (k)),
+        sums as (select m.k, sum(saved) as saved_tokens,
+            count(*) filter (n_children = 0) as n_leaves
+            from whole w join members m on m.conv_id = w.conv_id and m.depth <= w.depth group by 1)
+        select w.conv_id, cast(w.depth as bigint) as depth, p.conv_id as parent_conv_id, w.n_convs,
+            w.n_children, n_leaves, cast(saved_tokens as bigint) as saved_tokens, w.ends_sha256
+        from whole w join sums using (k) left join whole p on p.k = w.parent""",
     "op13_manifest": _manifest_sql(4),
     "op7_line_dedup": """with l as (select doc_id, string_split(text, chr(10)) as l
             from documents),
