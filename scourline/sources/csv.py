@@ -14,11 +14,14 @@ from pyspark.sql import types as T
 from ..functions.columns import col, cols, quoted, text_literal
 from ..functions.text import number_sql
 from ..operators.schema import ROW_ORDER
+from .records import ends_open, is_open, split_records
 
 _INTEGER = r"^[+-]?\d+$"
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
 _QUOTES = {"quote": '"', "escape": '"'}
 _SURPLUS = "__surplus"
+#: Options of Spark's reader under which lines and quoted values are not what they are here.
+_OWN_LINES = {"lineSep", "encoding", "charset", "comment", "ignoreLeadingWhiteSpace", "unescapedQuoteHandling"}
 _TIMESTAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?$"
 
 
@@ -39,8 +42,12 @@ def import_data(
 ) -> DataFrame:
     """Read a headed CSV file or folder, or with ``from_text`` the CSV text itself.
 
-    Quotes inside quoted values are doubled, as usual.  Values with line ends need
-    ``multi_line``, since a file can then not be split; without it they are refused.
+    Quotes inside quoted values are doubled, as usual; a quote inside a value that does not
+    start with one is a plain character.  Values with line ends need ``multi_line``, and are
+    refused without it.  Such files are read in parallel, too (see
+    :func:`scourline.sources.records.split_records`), unless an option of Spark's reader
+    changes what a line or a quoted value is: then one task reads a whole file.  Header
+    names that occur again get ``_1``, ``_2`` and so on; empty ones are ``_c0``, ``_c1``.
     Values listed in ``missing_strings`` become null before types are inferred.
     ``ignore_repeated`` treats a run of delimiters outside quotes as one.  Types come from
     ``schema``, whose names are those of the header, or from one pass over the data unless
@@ -57,7 +64,7 @@ def import_data(
         "schema": schema, "infer": infer, "surplus": surplus, **options,
     }
     if from_text:
-        records = list(enumerate(_records(source, options["quote"])))
+        records = list(enumerate(_records(source, delim, options["quote"])))
         lines = spark.createDataFrame(
             [(record, at) for at, record in records], f"value string, {ROW_ORDER} long"
         )
@@ -78,17 +85,23 @@ def import_data(
             lines = lines.join(heads, F.col(ROW_ORDER) == F.col("head"), "left_anti")
             df = import_lines(lines, delim, header=first["value"], **common)
             return df if keep_order else df.drop(ROW_ORDER)
-        options = {"sep": delim, "header": True, "multiLine": multi_line, **options}
-        names = spark.read.options(**options).csv(source).columns
+        options = {"sep": delim, "multiLine": multi_line, **options}
+        names = _file_names(spark, source, options)
         folders = spark.read.schema(f"{_SURPLUS} string").csv(source).columns[1:]
-        named = [n for n in names if n not in folders]
-        wide = ", ".join(f"{quoted(n)} string" for n in [*named, _SURPLUS])
-        raw = spark.read.options(**options).schema(wide).csv(source)
+        wide = ", ".join(f"{quoted(n)} string" for n in [*names, _SURPLUS])
+        if multi_line and options["quote"] == options["escape"] and not _OWN_LINES & options.keys():
+            records = split_records(spark, source, delim, options["quote"])
+            kept = [*folders, ROW_ORDER]
+            parsed = F.from_csv("value", wide, {k: str(v) for k, v in options.items()})
+            raw = records.select(parsed.alias("record"), *cols(kept)).select("record.*", *cols(kept))
+            raw = raw if keep_order else raw.drop(ROW_ORDER)
+        else:
+            raw = spark.read.options(**options, header=True, enforceSchema=True).schema(wide).csv(source)
+            raw = _in_order(raw) if keep_order else raw
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise ValueError(f"CSV file not found at: {source}") from error
         raise
-    raw = _in_order(raw) if keep_order else raw
     return _typed(_cut(raw, surplus), missing_strings, schema, infer)
 
 
@@ -129,6 +142,7 @@ def import_lines(
     if ignore_repeated:
         text = _squeezed(text, delim, options["quote"])
     names = _header_names(header, delim, options["quote"], ignore_repeated)
+    names = _distinct(names, lines.sparkSession)
     parsed = F.from_csv(
         text,
         ", ".join(f"{quoted(n)} string" for n in [*names, _SURPLUS]),
@@ -161,9 +175,7 @@ def _refuse_open_quotes(lines: DataFrame, delim: str, quote: str) -> None:
     """An error if a value in quotes runs over the end of its line."""
     if not quote:
         return
-    marks = F.length("value") - F.length(F.translate("value", quote, ""))
-    begins = F.col("value").rlike(f"(^|{re.escape(delim)}){re.escape(quote)}")
-    broken = lines.where((marks % 2 == 1) & begins).take(1)
+    broken = lines.where(ends_open(F.col("value"), delim, quote)).take(1)
     if broken:
         raise ValueError(
             f"A quoted value runs over a line end: {broken[0]['value'][:80]!r}; "
@@ -293,6 +305,34 @@ def _squeezed(text: Column, delim: str, quote: str) -> Column:
     return F.when(text == "", text).otherwise(F.array_join(F.slice(found, first, length), ""))
 
 
+def _file_names(spark: SparkSession, source: str, options: dict) -> list[str]:
+    """The header of the first file read, without the columns of partition folders."""
+    read = spark.read.options(**options, header=False).csv(source)
+    names = [c for c in read.columns if re.fullmatch(r"_c\d+", c)]
+    first = read.select(names).first() if names else None
+    if first is None:
+        raise ValueError("CSV text is empty")
+    last = (first[-1] or "").removesuffix("\r")  # lines may end otherwise than in the header
+    return _distinct([*first[:-1], last], spark)
+
+
+def _distinct(names: Sequence[str | None], spark: SparkSession) -> list[str]:
+    """Column names from a header: empty ones get a number, repeated ones a suffix."""
+    exact = spark.conf.get("spark.sql.caseSensitive") == "true"
+    fold = (lambda n: n) if exact else str.lower
+    names = [name or f"_c{i}" for i, name in enumerate(names)]
+    taken, found = {fold(n) for n in names}, []
+    seen: set[str] = set()
+    for name in names:
+        own, k = name, 0
+        while fold(own) in seen or (k and fold(own) in taken):
+            k += 1
+            own = f"{name}_{k}"
+        seen.add(fold(own))
+        found.append(own)
+    return found
+
+
 def _header_names(header: str, delim: str, quote: str, ignore_repeated: bool) -> list[str]:
     if len(delim) == 1:
         names = next(csv.reader([header], delimiter=delim, quotechar=quote))
@@ -300,15 +340,15 @@ def _header_names(header: str, delim: str, quote: str, ignore_repeated: bool) ->
         names = header.split(delim)
     if ignore_repeated:
         names = [name for name in names if name]
-    return [name or f"_c{i}" for i, name in enumerate(names)]
+    return names
 
 
-def _records(text: str, quote: str = '"') -> list[str]:
+def _records(text: str, delim: str, quote: str = '"') -> list[str]:
     """Lines of a CSV text, joined where a quoted value runs over a line end."""
     records, open_record = [], ""
     for line in text.splitlines(keepends=True):
         open_record += line
-        if open_record.count(quote) % 2 == 0:
+        if not (quote and is_open(open_record.rstrip("\r\n"), delim, quote)):
             records.append(open_record.rstrip("\r\n"))
             open_record = ""
     if open_record:
