@@ -5,11 +5,12 @@ block is coded on its own by ``LANES`` interleaved coders: ID ``i`` goes to code
 ``i % LANES``, and a step moves all coders at once.  A block is, little-endian::
 
     magic 4s | lanes u32 | documents u32 | ids u64 | words u64 | checkpoints u32 |
-    crc32 of the ids u32 | crc32 of what follows u32 |
-    length of each document u32 | states of the coders u64 |
-    for each checkpoint: first word u64, states u64 | words u32
+    crc32 of what follows u32 | length of each document u32 |
+    for each checkpoint: first word u64, crc32 of its stretch of ids u32, states u64 |
+    words u32
 
-A checkpoint stands before every ``STRIDE``-th step but the first; decoding can begin there.
+A checkpoint stands before every ``STRIDE``-th step, the first included.  The stretch of ids
+up to the next one can be decoded and checked on its own.
 """
 
 from __future__ import annotations
@@ -19,12 +20,13 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"SRA1"
+MAGIC = b"SRA2"
 BITS = 20
 LANES = 1024
 STRIDE = 128
 _LOW = 1 << 31
-_HEAD = struct.Struct("<4sIIQQIII")
+_HEAD = struct.Struct("<4sIIQQII")
+_MARK = struct.Struct("<QI")
 _U32, _MASK = np.uint64(32), np.uint64((1 << BITS) - 1)
 
 
@@ -68,20 +70,17 @@ def encode_block(ids: np.ndarray, lengths: np.ndarray, table: Frequencies) -> by
         x = np.where(full, x >> _U32, x)
         whole = x // f
         state[: len(f)] = (whole << np.uint64(BITS)) + (x - whole * f) + c
-        if step and step % STRIDE == 0:
+        if step % STRIDE == 0:
             marks.append((step, state.copy()))
     words = np.concatenate(emitted[::-1] or [np.empty(0, np.uint32)])
     before = np.cumsum([0, *(len(e) for e in emitted[::-1])])
-    body = [np.asarray(lengths, "<u4").tobytes(), state.astype("<u8").tobytes()]
+    body = [np.asarray(lengths, "<u4").tobytes()]
     for step, held in marks[::-1]:
-        body += [struct.pack("<Q", before[step]), held.astype("<u8").tobytes()]
+        crc = zlib.crc32(ids[step * LANES : (step + STRIDE) * LANES].astype("<u4").tobytes())
+        body += [_MARK.pack(before[step], crc), held.astype("<u8").tobytes()]
     body.append(words.astype("<u4").tobytes())
     body = b"".join(body)
-    crc = zlib.crc32(ids.astype("<u4").tobytes())
-    head = _HEAD.pack(
-        MAGIC, LANES, len(lengths), n, len(words), len(marks), crc, zlib.crc32(body)
-    )
-    return head + body
+    return _HEAD.pack(MAGIC, LANES, len(lengths), n, len(words), len(marks), zlib.crc32(body)) + body
 
 
 class Block:
@@ -89,27 +88,28 @@ class Block:
 
     def __init__(self, data: bytes):
         head = _HEAD.unpack_from(data)
-        magic, self.lanes, docs, self.ids, words, marks, self.crc, crc = head
+        magic, self.lanes, docs, self.ids, words, marks, crc = head
         body = memoryview(data)[_HEAD.size :]
         if magic != MAGIC or zlib.crc32(body) != crc:
             raise ValueError("not a block, or a damaged one")
         self.lengths = np.frombuffer(body, "<u4", docs)
         at = 4 * docs
-        self.marks = [(0, np.frombuffer(body, "<u8", self.lanes, at))]
-        at += 8 * self.lanes
+        self.marks = []
         for _ in range(marks):
-            (word,) = struct.unpack_from("<Q", body, at)
-            self.marks.append((word, np.frombuffer(body, "<u8", self.lanes, at + 8)))
-            at += 8 + 8 * self.lanes
+            word, crc = _MARK.unpack_from(body, at)
+            self.marks.append((word, crc, np.frombuffer(body, "<u8", self.lanes, at + _MARK.size)))
+            at += _MARK.size + 8 * self.lanes
         self.words = np.frombuffer(body, "<u4", words, at)
 
-    def decode(self, table: Frequencies, mark: int = 0) -> np.ndarray:
-        """The IDs from a checkpoint on (all of them by default)."""
-        at, state = self.marks[mark]
+    def decode(self, table: Frequencies, mark: int) -> np.ndarray:
+        """The IDs from one checkpoint to the next, held against their checksum."""
+        at, crc, state = self.marks[mark]
         state = state.copy()
-        begin = mark * STRIDE * self.lanes
-        out = np.empty(max(self.ids - begin, 0), np.uint32)
-        words = self.words.astype(np.uint64)
+        size = STRIDE * self.lanes
+        out = np.empty(min(self.ids - mark * size, size), np.uint32)
+        most = self.marks[mark + 1][0] if mark + 1 < len(self.marks) else len(self.words)
+        words = self.words[at:most].astype(np.uint64)
+        at = 0
         for low in range(0, len(out), self.lanes):
             x = state[: len(out) - low]
             slot = x & _MASK
@@ -120,6 +120,10 @@ class Block:
             x[need] = (x[need] << _U32) | words[at : at + len(need)]
             at += len(need)
             state[: len(x)] = x
-        if mark == 0 and zlib.crc32(out.astype("<u4").tobytes()) != self.crc:
-            raise ValueError("a block does not decode to its checksum")
+        if zlib.crc32(out.astype("<u4").tobytes()) != crc:
+            raise ValueError("a stretch does not decode to its checksum")
         return out
+
+    def decode_all(self, table: Frequencies) -> np.ndarray:
+        stretches = [self.decode(table, mark) for mark in range(len(self.marks))]
+        return np.concatenate(stretches or [np.empty(0, np.uint32)])

@@ -21,9 +21,16 @@ def test_block_round_trip(size):
     ids = np.minimum(choose.geometric(0.01, size), 3000).astype(np.uint32)
     table = Frequencies(np.bincount(ids, minlength=4000))
     block = Block(encode_block(ids, np.array([size]), table))
-    assert (block.decode(table) == ids).all() and block.lengths.tolist() == [size]
-    for mark in range(1, len(block.marks)):
-        assert (block.decode(table, mark) == ids[mark * rans.STRIDE * rans.LANES :]).all()
+    assert (block.decode_all(table) == ids).all() and block.lengths.tolist() == [size]
+    stretch = rans.STRIDE * rans.LANES
+    assert len(block.marks) == -(-size // stretch)
+    for mark in reversed(range(len(block.marks))):  # in any order
+        assert (block.decode(table, mark) == ids[mark * stretch :][:stretch]).all()
+    if block.marks:
+        word, crc, states = block.marks[-1]
+        block.marks[-1] = (word, crc ^ 1, states)
+        with pytest.raises(ValueError, match="checksum"):
+            block.decode(table, len(block.marks) - 1)
 
 
 def test_blocks_are_small_and_refuse_damage():
@@ -59,6 +66,16 @@ def test_old_pieces_pass_and_stay_right(monkeypatch):
         assert got.tolist() == whole.encode(text, add_special_tokens=False).ids + [2]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_vocabularies_that_do_not_cut_at_blanks(name):
+    path = public_tokenizers.path(name)
+    encoder, whole = Encoder(path), Tokenizer.from_file(path)
+    assert (encoder.known is None) == (name != "word_bpe_49k.json")
+    texts = ["Some Words,  in CAPITALS.\n", "", "x" * 40_000, "A very long text, " * 20_000]
+    got = encoder.encode([t.encode() for t in texts] + [None], 2)
+    assert [g.tolist() for g in got] == [whole.encode(t, add_special_tokens=False).ids + [2] for t in [*texts, ""]]
+
+
 def test_round_trip_of_a_table(spark, monkeypatch):
     monkeypatch.setattr(tokens, "PART_BYTES", 2000)
     monkeypatch.setattr(tokens, "BLOCK_IDS", 300)
