@@ -1,60 +1,69 @@
-"""Exact interpolated quantiles of many columns, in bounded memory.
+"""Exact interpolated quantiles of many columns at once, in bounded memory.
 
 Spark's ``percentile`` keeps every distinct value of a column in one map, which a
-continuous column of a large table outgrows.  Here each wanted order statistic is
-closed in on instead:
-
-* a random sample of bounded size proposes a few cut values around it;
-* one aggregation over the whole table counts the values below and at each cut.
-  The counts are exact, so the order statistic is either a cut itself or lies
-  between two neighbouring cuts, and how many values lie there is known;
-* this repeats inside the bracket until at most ``settle`` values are left, which
-  are then sorted.
-
-The sample only proposes cuts: a bad one costs another round, never the result.
-Every round is two scans of the columns concerned, with no shuffle beyond the sample
-and one row of counters per task; on a large table the bracket shrinks by a factor of
-about two hundred each time.
+continuous column of a large table outgrows.  Here each wanted order statistic is closed in
+on instead, for all columns in the same two passes:
+
+* a mergeable quantile sketch of each column proposes two cut values around each wanted
+  rank, at the error bound of the sketch;
+* one exact count of the values below, at and between the cuts.  The few values between the
+  two cuts of a rank are counted one by one, so that the running count shows which of them
+  has the rank.
+
+The sketch only proposes cuts: bad ones cost two more passes within a smaller bracket, never
+the result.  So do tables so large that more than ``settle`` values lie between two cuts;
+each pair of passes narrows a bracket by a factor of some hundred.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
+from bisect import bisect_left
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from itertools import batched
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import double_literal, quoted
 from ..sources.scratch import written_if_costly
 
-_LUCK = "luck"
-# Values to sample per bracket, for small and large ones.
-_SAMPLE = (10_000, 100_000)
-# Cuts at these many standard errors of the sample around the wanted rank.
-_SPREAD = (-4.0, 4.0)
-# Columns searched together.  A columnar scan reads as much in any case, and the
-# generated code stays small enough to be compiled.
-_BATCH = 8
+#: Size parameter of the sketches: about 20 bytes of it for each column and task.
+_SKETCH = 2048
+
+
+def _error() -> float:
+    """Share of the ranks by which a sketch is off at most, in 99 of 100 cases."""
+    return 2.296 / _SKETCH**0.9021
 
 
 @dataclass
-class _Target:
-    """The order statistic ``rank`` (from 0) of a column, known to lie strictly
-    between ``low`` and ``high`` with ``inside`` values there and ``below`` values
-    at or under ``low``."""
+class _Bracket:
+    """Values of a column strictly between ``low`` and ``high``: ``inside`` of them, after
+    ``below`` others; some wanted ranks (from 0, in the whole column) lie there."""
 
     column: str
-    rank: int
+    ranks: list[int]
     below: int
     inside: int
     low: float | None = None
     high: float | None = None
-    value: float | None = None
+
+    def values(self) -> str:
+        conditions = []
+        if self.low is not None:
+            conditions.append(f"{self.column} > {double_literal(self.low)}")
+        if self.high is not None:
+            conditions.append(f"{self.column} < {double_literal(self.high)}")
+        if not conditions:
+            return self.column
+        return f"CASE WHEN {' AND '.join(conditions)} THEN {self.column} END"
+
+    def fractions(self, rank: int) -> tuple[float, float]:
+        """Where in the bracket a rank lies at least and at most, by the sketch."""
+        at, slack = (rank - self.below) / self.inside, _error() + 2 / self.inside
+        return max(0.0, at - slack), min(1.0, at + slack)
 
 
 @dataclass
@@ -69,14 +78,12 @@ class Quantiles:
 
 
 def exact_quantiles(
-    df: DataFrame,
-    probabilities: Mapping[str, Sequence[float]],
-    settle: int = 250_000,
-    seed: int = 11,
+    df: DataFrame, probabilities: Mapping[str, Sequence[float]], settle: int = 250_000
 ) -> dict[str, Quantiles]:
     """Linearly interpolated quantiles (type 7) of numeric columns.
 
-    Nulls and NaN are left out; NaNs are counted, for the caller to decide.
+    Nulls and NaN are left out; NaNs are counted, for the caller to decide.  ``settle`` is
+    how many values of a column may be sorted one by one.
     """
     names = list(probabilities)
     if not names:
@@ -84,9 +91,8 @@ def exact_quantiles(
     for p in (p for ps in probabilities.values() for p in ps):
         if not 0.0 <= p <= 1.0:
             raise ValueError(f"Quantile outside [0, 1]: {p}")
-    # Short names keep the many generated counters readable and free of quoting.
+    # Short names keep the generated code readable and free of quoting.
     short = {name: f"c{i}" for i, name in enumerate(names)}
-    wanted = {short[name]: list(ps) for name, ps in probabilities.items()}
     columns = []
     for name in names:
         value = f"CAST({quoted(name)} AS DOUBLE)"
@@ -97,49 +103,27 @@ def exact_quantiles(
     # Every pass reads the input anew: a plan beyond a scan runs once and is written, with
     # the columns that count.
     values = written_if_costly(df.selectExpr(*columns))
-    rows = values.count()
-    found = {}
-    for some in batched(wanted, _BATCH):
-        part = values.select(*[c for c in values.columns if c.split("_")[-1] in some])
-        ask = {c: wanted[c] for c in some}
-        if rows <= settle:
-            found.update(_sorted_quantiles(part, ask, rows))
-        else:
-            found.update(_closed_in_quantiles(part, ask, rows, settle, seed))
-    return {name: found[short[name]] for name in names}
-
-
-def _closed_in_quantiles(values, wanted, rows, settle, seed) -> dict[str, Quantiles]:
-    cuts = _first_cuts(values, wanted, rows, seed)
-    counts, totals, nans = _count(values, {c: cuts.get(c, []) for c in wanted})
-    found = {c: Quantiles(totals[c], nans.get(c, 0), rows) for c in wanted}
-    targets: dict[tuple[str, int], _Target] = {}
+    wanted = {short[name]: list(ps) for name, ps in probabilities.items()}
+    found, grids = _summaries(values, wanted)
+    known: dict[tuple[str, int], float] = {}
+    brackets = []
     for column, ps in wanted.items():
         n = found[column].count
-        for rank in {r for p in ps for r in _ranks(n, p)}:
-            target = _Target(column, rank, below=0, inside=n)
-            _locate(target, counts[column])
-            targets[column, rank] = target
-    while True:
-        open_targets = [
-            t for t in targets.values() if t.value is None and t.inside > settle
-        ]
-        if not open_targets:
-            break
-        seed += 1
-        cuts = _next_cuts(values, open_targets, seed)
-        counts, _, _ = _count(values.select(*cuts), cuts)
-        for target in open_targets:
-            _locate(target, counts[target.column])
-    _settle(values, [t for t in targets.values() if t.value is None])
+        ranks = sorted({r for p in ps for r in _ranks(n, p)})
+        if ranks:
+            brackets.append(_Bracket(column, ranks, 0, n))
+    while brackets:
+        if grids is None:
+            grids = _sketched(values, brackets, settle)
+        cuts = [_cuts(b, grids.get(i), settle) for i, b in enumerate(brackets)]
+        brackets = _counted(values, brackets, cuts, settle, known)
+        grids = None
     for column, ps in wanted.items():
         n = found[column].count
-        if n:
-            found[column].values = [
-                _interpolate(n, p, [targets[column, r].value for r in _ranks(n, p)])
-                for p in ps
-            ]
-    return found
+        found[column].values = [
+            _interpolate(n, p, [known[column, r] for r in _ranks(n, p)]) for p in ps if n
+        ]
+    return {name: found[short[name]] for name in names}
 
 
 def _ranks(n: int, p: float) -> list[int]:
@@ -159,163 +143,122 @@ def _interpolate(n: int, p: float, found: list[float]) -> float:
     return low + part * (high - low)
 
 
-def _nan_counters(values: DataFrame) -> list[str]:
-    return [f"count_if({c}) AS {c}" for c in values.columns if c.startswith("nan_")]
+def _long(values: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row ``(i, v)`` for each of some expressions, without those that are null."""
+    rows = ", ".join(f"struct({i} AS i, {c} AS v)" for i, c in enumerate(columns))
+    return values.selectExpr(f"inline(array({rows}))").where("v IS NOT NULL")
 
 
-def _sorted(chosen: str, column: str, picks: str) -> str:
-    """Sort the chosen values of a column once, as ``a``, and evaluate ``picks``.
+def _quantiles_of_sketch(fractions: Sequence[float]) -> str:
+    listed = ", ".join(map(double_literal, fractions))
+    sketch = f"kll_sketch_agg_double(v, {_SKETCH})"
+    return f"if(count(v) > 0, kll_sketch_get_quantile_double({sketch}, array({listed})), NULL) AS cuts"
 
-    The lambda keeps the sorted array from being spelled out, and so sorted again,
-    for every pick.
-    """
-    values = f"collect_list(CASE WHEN {chosen} THEN {column} END)"
-    return f"transform(array(sort_array({values})), a -> {picks})[0]"
 
+Grid = dict[float, float]
 
-def _array(items) -> str:
-    return f"array({', '.join(items)})"
 
+def _summaries(values: DataFrame, wanted) -> tuple[dict[str, Quantiles], dict[int, Grid]]:
+    """Rows, numbers and NaNs of each column, and its sketch at the fractions to cut at."""
+    error = _error()
+    near = {f for ps in wanted.values() for p in ps for f in (p - error, p + error)}
+    fractions = sorted({0.0, 1.0, *(min(1.0, max(0.0, f)) for f in near)})
+    nan = [f"nan_{c}" if f"nan_{c}" in values.columns else "false" for c in wanted]
+    rows = ", ".join(f"struct({i} AS i, {c} AS v, {n} AS nan)" for i, (c, n) in enumerate(zip(wanted, nan)))
+    summed = values.selectExpr(f"inline(array({rows}))").groupBy("i").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("v").alias("n"),
+        F.count_if("nan").alias("nans"), F.expr(_quantiles_of_sketch(fractions)),
+    )
+    found = {c: Quantiles(0, 0, 0) for c in wanted}
+    grids, names = {}, list(wanted)
+    for row in summed.collect():
+        found[names[row["i"]]] = Quantiles(row["n"], row["nans"], row["rows"])
+        if row["n"]:
+            grids[names[row["i"]]] = dict(zip(fractions, row["cuts"]))
+    some = [c for c in wanted if found[c].count and wanted[c]]
+    return found, {i: grids[c] for i, c in enumerate(some)}
+
+
+def _sketched(values: DataFrame, brackets: list[_Bracket], settle: int) -> dict[int, Grid]:
+    """The sketches of brackets that are too large to be sorted, at the fractions to cut at."""
+    large = [i for i, b in enumerate(brackets) if b.inside > settle]
+    if not large:
+        return {}
+    fractions = sorted({f for i in large for r in brackets[i].ranks for f in brackets[i].fractions(r)})
+    rows = _long(values, [brackets[i].values() for i in large]).groupBy("i")
+    found = rows.agg(F.expr(_quantiles_of_sketch(fractions))).collect()
+    return {large[row["i"]]: dict(zip(fractions, row["cuts"])) for row in found}
 
-def _sorted_quantiles(values, wanted, rows) -> dict[str, Quantiles]:
-    """A table of at most ``settle`` rows is sorted as it is."""
-    aggregates = _nan_counters(values)
-    for column, ps in wanted.items():
-        shares = _array(map(double_literal, ps))
-        neighbours = f"""flatten(transform({shares}, p -> array(
-            get(a, int(floor((size(a) - 1) * p))), get(a, int(ceil((size(a) - 1) * p))))))"""
-        aggregates.append(f"{_sorted('true', column, neighbours)} AS {column}")
-        aggregates.append(f"count({column}) AS n_{column}")
-    row = values.selectExpr(*aggregates).first().asDict()
-    result = {}
-    for column, ps in wanted.items():
-        n, found = row[f"n_{column}"], row[column]
-        result[column] = Quantiles(n, row.get(f"nan_{column}", 0), rows)
-        if n:
-            result[column].values = [
-                _interpolate(n, p, found[2 * j : 2 * j + 2]) for j, p in enumerate(ps)
-            ]
-    return result
 
+def _cuts(bracket: _Bracket, grid: Grid | None, settle: int) -> list[tuple[float, float]]:
+    """A pair of values around each wanted rank; none where all values may be sorted."""
+    if bracket.inside <= settle or not grid:
+        return []
+    fractions = sorted(grid)
+    pairs = []
+    for rank in bracket.ranks:
+        low, high = bracket.fractions(rank)
+        under = [f for f in fractions if f <= low]
+        over = [f for f in fractions if f >= high]
+        pairs.append((grid[under[-1] if under else fractions[0]], grid[over[0] if over else fractions[-1]]))
+    return pairs
+
+
+def _bucket(cuts: list[float]) -> str:
+    """Number of the bucket of ``v``: 2k under the k-th cut (from 0), 2k + 1 at it."""
+    whens = [
+        f"WHEN v < {cut} THEN {2 * k} WHEN v = {cut} THEN {2 * k + 1}"
+        for k, cut in enumerate(map(double_literal, cuts))
+    ]
+    return f"CASE {' '.join(whens)} ELSE {2 * len(cuts)} END" if cuts else "0"
 
-def _sample(size: int) -> int:
-    least, most = _SAMPLE
-    return max(least, min(most, size // 50))
 
+def _counted(values, brackets, pairs, settle, known) -> list[_Bracket]:
+    """Count all brackets exactly; what has its value goes to ``known``, the rest comes back.
 
-def _first_cuts(values, wanted, rows, seed) -> dict[str, list[float]]:
-    requests = [
-        (column, f"{_LUCK} < {double_literal(_sample(rows) / rows)}", ps)
-        for column, ps in wanted.items()
-    ]
-    return _sampled_cuts(values, requests, seed)
-
-
-def _next_cuts(values, targets, seed) -> dict[str, list[float]]:
-    brackets = defaultdict(list)
-    for t in targets:
-        brackets[t.column, t.low, t.high, t.below, t.inside].append(t.rank)
-    requests = [
-        (
-            column,
-            f"{_between(column, low, high)}"
-            f" AND {_LUCK} < {double_literal(_sample(inside) / inside)}",
-            [(rank - below) / inside for rank in ranks],
-        )
-        for (column, low, high, below, inside), ranks in brackets.items()
-    ]
-    return _sampled_cuts(values, requests, seed)
-
-
-def _sampled_cuts(values, requests, seed) -> dict[str, list[float]]:
-    """Sample each bracket, and take the values of the sample
-    around the wanted shares as cuts; only these leave the executors."""
-    spread = _array(map(double_literal, _SPREAD))
-    aggregates = []
-    for i, (column, chosen, shares) in enumerate(requests):
-        around = f"""flatten(transform({_array(map(double_literal, shares))}, s ->
-            transform({spread}, z -> get(a, greatest(0, least(size(a) - 1, int(floor(
-                size(a) * s + z * sqrt(size(a) * s * (1 - s) + 1)))))))))"""
-        aggregates.append(f"{_sorted(chosen, column, around)} AS s{i}")
-    lucky = values.withColumn(_LUCK, F.rand(seed)).where(
-        _any_of(chosen for _, chosen, _ in requests)
+    Values are counted by bucket, and one by one in the buckets between the cuts of a rank.
+    Counts come together by bracket; the running count of a bracket passes each rank once.
+    """
+    cuts = [sorted({c for pair in of for c in pair}) for of in pairs]
+    single = []
+    for bracket, own, of in zip(brackets, cuts, pairs):
+        if not own:
+            single.append([0])
+            continue
+        # Values between two cuts are as many as the sketch is off, about; if those are too
+        # many to be sorted, the next pair of passes works between them.
+        few = 2 * (_error() * bracket.inside + 2) <= settle
+        spans = [range(2 * bisect_left(own, low) + 2, 2 * bisect_left(own, high) + 1, 2) for low, high in of]
+        single.append(sorted({b for span in spans for b in span}) if few else [])
+    per_bracket = " ".join(f"WHEN {i} THEN {_bucket(own)}" for i, own in enumerate(cuts))
+    alone = " ".join(
+        f"WHEN {i} THEN bucket IN ({', '.join(map(str, of))})" for i, of in enumerate(single) if of
     )
-    row = lucky.selectExpr(*aggregates).first()
-    cuts = defaultdict(set)
-    for i, (column, _, _) in enumerate(requests):
-        cuts[column].update(v for v in row[f"s{i}"] if v is not None)
-    return {column: sorted(found) for column, found in cuts.items()}
-
-
-def _count(values, cuts):
-    """Exact counts ``(cut, values under it, values under or at it)`` per column, the
-    number of values per column, and of NaNs: one row of counters per task."""
-    counters = _nan_counters(values)
-    for column, found in cuts.items():
-        counters.append(f"count({column}) AS n_{column}")
-        for i, cut in enumerate(map(double_literal, found)):
-            counters.append(f"count_if({column} < {cut}) AS lt{i}_{column}")
-            counters.append(f"count_if({column} <= {cut}) AS le{i}_{column}")
-    row = values.selectExpr(*counters).first().asDict()
-    counts = {
-        column: [
-            (cut, row[f"lt{i}_{column}"], row[f"le{i}_{column}"])
-            for i, cut in enumerate(found)
-        ]
-        for column, found in cuts.items()
-    }
-    totals = {column: row[f"n_{column}"] for column in cuts}
-    nans = {column: row.get(f"nan_{column}", 0) for column in cuts}
-    return counts, totals, nans
-
-
-def _locate(target: _Target, counts) -> None:
-    """Narrow the bracket of ``target`` by the counted cuts, in rising order."""
-    end = target.below + target.inside
-    for cut, under, upto in counts:
-        if target.low is not None and cut <= target.low:
+    alone = f"CASE WHEN CASE i {alone} ELSE false END THEN v END" if alone else "CAST(NULL AS DOUBLE)"
+    running = Window.partitionBy("i").orderBy("bucket", "v")
+    ranks = " ".join(
+        f"WHEN {i} THEN array({', '.join(f'{r - b.below}L' for r in b.ranks)})" for i, b in enumerate(brackets)
+    )
+    hits = (
+        _long(values, [b.values() for b in brackets])
+        .selectExpr("i", "v", f"CASE i {per_bracket} END AS bucket")
+        .selectExpr("i", "bucket", f"{alone} AS v")
+        .groupBy("i", "bucket", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("upto", F.sum("n").over(running))
+        .withColumn("hit", F.expr(f"filter(CASE i {ranks} END, r -> r >= upto - n AND r < upto)"))
+        .where("size(hit) > 0")
+    )
+    left = []
+    for row in hits.collect():
+        bracket, own, bucket = brackets[row["i"]], cuts[row["i"]], row["bucket"]
+        ranks_here = [r + bracket.below for r in row["hit"]]
+        value = own[bucket // 2] if bucket % 2 else row["v"]
+        if value is not None:
+            known.update({(bracket.column, r): value for r in ranks_here})
             continue
-        if target.high is not None and cut >= target.high:
-            break
-        if upto <= target.rank:
-            target.low, target.below = cut, upto
-        elif under <= target.rank:
-            target.value = cut
-            return
-        else:
-            target.high, end = cut, under
-            break
-    target.inside = end - target.below
-
-
-def _settle(values, targets) -> None:
-    """Sort what is left in each bracket, at most ``settle`` values."""
-    brackets = defaultdict(list)
-    for t in targets:
-        brackets[t.column, t.low, t.high].append(t)
-    if not brackets:
-        return
-
-    aggregates, insides = [], []
-    for i, ((column, low, high), group) in enumerate(brackets.items()):
-        picks = _array(f"get(a, {t.rank - t.below})" for t in group)
-        insides.append(_between(column, low, high))
-        aggregates.append(f"{_sorted(insides[-1], column, picks)} AS b{i}")
-    row = values.where(_any_of(insides)).selectExpr(*aggregates).first()
-    for i, group in enumerate(brackets.values()):
-        for t, value in zip(group, row[f"b{i}"]):
-            t.value = value
-
-
-def _any_of(conditions) -> str:
-    """Rows that no list is going to take are dropped before the aggregation."""
-    return " OR ".join(f"({c})" for c in dict.fromkeys(conditions))
-
-
-def _between(value: str, low: float | None, high: float | None) -> str:
-    conditions = ["true"]
-    if low is not None:
-        conditions.append(f"{value} > {double_literal(low)}")
-    if high is not None:
-        conditions.append(f"{value} < {double_literal(high)}")
-    return " AND ".join(conditions)
+        low = own[bucket // 2 - 1] if bucket else bracket.low
+        high = own[bucket // 2] if bucket // 2 < len(own) else bracket.high
+        below = bracket.below + row["upto"] - row["n"]
+        left.append(_Bracket(bracket.column, ranks_here, below, row["n"], low, high))
+    return left
