@@ -25,7 +25,7 @@ LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
 SIZES, BITS = (3,), 16
 SAMPLE = 800  # the most texts of a language that the trigrams are learned from
-SAMPLE_PARTS = 256
+STEP_BITS = 16  # of the hash by which those are chosen
 SMOOTH = 0.1
 OVERLAP = 6.0  # a trigram shares most of its letters with its neighbours
 HOST_WEIGHT, SUFFIX_WEIGHT, DECLARED_WEIGHT = 5.0, 20.0, 1.0
@@ -63,10 +63,17 @@ def learn_trigrams(labelled: DataFrame, languages: Sequence[str] = LANGUAGES) ->
     """
     ids = labelled.select("doc_id", "lang").where(F.col("lang").isin(list(languages)))
     picked = ids.where("doc_id is not null").distinct().withColumn("luck", F.xxhash64("doc_id"))
-    # First within parts of each language, so that a frequent one never meets in one task.
-    for by in (["lang", F.pmod("luck", F.lit(SAMPLE_PARTS))], ["lang"]):
-        order = Window.partitionBy(*by).orderBy("luck", "doc_id")
-        picked = picked.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE)
+    picked = picked.withColumn("step", F.shiftright("luck", 64 - STEP_BITS))
+    # The steps of the hash are counted, and only those up to the last id wanted are sorted.
+    rising = Window.partitionBy("lang").orderBy("step")
+    steps = picked.groupBy("lang", "step").agg(F.count(F.lit(1)).alias("n"))
+    steps = steps.withColumn("before", F.sum("n").over(rising) - F.col("n")).where(F.col("before") < SAMPLE)
+    last = {r["lang"]: r["step"] for r in steps.groupBy("lang").agg(F.max("step").alias("step")).collect()}
+    wanted = F.lit(False)
+    for lang, step in last.items():
+        wanted = F.when(F.col("lang") == lang, F.col("step") <= step).otherwise(wanted)
+    order = Window.partitionBy("lang").orderBy("luck", "doc_id")
+    picked = picked.where(wanted).withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE)
     picked = stored(picked.select("doc_id", "lang"), "labelled")
     texts = labelled.select("doc_id", "lang", "text").join(F.broadcast(picked), ["doc_id", "lang"])
 
@@ -157,8 +164,8 @@ def identify(
     """``rows`` with ``language``, ``confidence`` and ``by_text`` (of the text alone).
 
     ``rows`` has ``text`` (markup if ``markup``) and the evidence ``declared``, ``suffix``
-    and ``host``; further columns are kept, but names that begin with ``_`` are this
-    function's own.
+    and ``host``; further columns are kept, but those that bear one of the three new names
+    are replaced, and names that begin with ``_`` are this function's own.
 
     The language is ``und`` where noise explains the text better than any language, or
     where it has no trigrams at all (null, empty, blank).  Null evidence says nothing:
@@ -166,6 +173,7 @@ def identify(
     each count.  An empty table gives an empty one.
     """
     names = [*languages, UNKNOWN]
+    rows = rows.drop("language", "confidence", "by_text")
     scored = _scored(rows, rows.columns, table, markup)
     light = _scored(rows, ["suffix", "host", "declared"], table, markup)
     soft = [F.element_at("_text", k + 1).alias(f"_p{k}") for k in range(len(names))]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .work import stored
@@ -19,9 +19,9 @@ def drop_repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     ``n_removed`` and ``kept_text``.
 
     A null text has no lines and stays null, an empty one has one empty line; a text of
-    fewer lines than a window stays as it is.  Null ids come first.  Rows that are equal in
-    id and text count as one document and share its result; rows that share only an id are
-    ordered by a hash of their text.  Further columns are ignored; an empty table gives an
+    fewer lines than a window stays as it is.  Null ids come first.  Rows that share an id are
+    ordered by a hash of their text; of rows equal in id and text one is the first, and the
+    others lose all their lines (if they have a window at all).  Further columns are ignored; an empty table gives an
     empty one.  Windows are told apart by two 64-bit hashes.
     """
     if window < 1:
@@ -53,9 +53,14 @@ def drop_repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     stays = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), covered)
     kept = F.array_join(F.transform(stays, lambda i: F.get("lines", i)), "\n")
     found = docs.join(gone.hint("merge"), ["key", "key2"], "left").withColumn("lines", F.split("text", "\n"))
+    # Equal rows, which have met by their keys, are told apart by a number.
+    copy = F.row_number().over(Window.partitionBy("key", "key2").orderBy("doc_id"))
+    again = (copy > 1) & (F.size("lines") >= window)
+    found = found.withColumn("again", again & F.col("text").isNotNull())
+    size = F.size("lines")
     return found.select(
         "doc_id",
         F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
-        F.when(F.col("starts").isNull(), 0).otherwise(F.size(covered)).cast("long").alias("n_removed"),
-        F.when(F.col("starts").isNull(), F.col("text")).otherwise(kept).alias("kept_text"),
+        F.when(F.col("again"), size).when(F.col("starts").isNull(), 0).otherwise(F.size(covered)).cast("long").alias("n_removed"),
+        F.when(F.col("again"), "").when(F.col("starts").isNull(), F.col("text")).otherwise(kept).alias("kept_text"),
     )

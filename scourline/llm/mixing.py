@@ -8,6 +8,7 @@ weight of a token of its cell.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,12 +52,13 @@ def _shared(cells: DataFrame, dim: str, target) -> DataFrame:
 
 
 def rake(cells: DataFrame, targets: Mapping[str, object]) -> DataFrame:
-    """``cells`` (the dimensions and ``tokens``) with ``fitted``, their tokens in the mix.
+    """``cells`` (the dimensions and ``tokens``) with ``fitted``, their tokens in the mix, and
+    ``gap``, the most by which a share of one of their levels differs from its target.
 
     ``targets`` gives for each dimension a dictionary of shares (levels that it lacks get
     nothing) or an exponent for the shares of the data.  Shares are scaled to the levels
-    that occur.  Where the targets cannot all hold, the last dimension does after the
-    last sweep.  Cells without tokens stay at none.
+    that occur.  Where the targets cannot all hold, as some cells do not occur, the last
+    dimension does after the last sweep, and ``gap`` stays above ``TOLERANCE``.  Cells without tokens stay at none.
     """
     cells = stored(cells.select("*", F.monotonically_increasing_id().alias("cell")), "cells")
     # Few rows are raked in one task without any exchange; more of them by Spark's windows.
@@ -79,10 +81,13 @@ def rake(cells: DataFrame, targets: Mapping[str, object]) -> DataFrame:
             off = F.greatest(off, F.abs(sum_now / F.col("total") - F.col(f"share_{dim}")))
         cells = together(stored(cells.withColumn("off", off), "raked"))
         worst = cells.agg(F.max("off")).first()[0]
-        cells = cells.drop("off")
         if worst is None or worst <= TOLERANCE:
             break
-    return cells
+        cells = cells.drop("off")
+    else:
+        warnings.warn(f"targets are missed by up to {worst:.2g} of all tokens", stacklevel=2)
+        cells = cells.withColumn("off", off)
+    return cells.withColumnRenamed("off", "gap")
 
 
 def calibrated(cells: DataFrame, budget: float) -> DataFrame:
@@ -113,7 +118,8 @@ def calibrated(cells: DataFrame, budget: float) -> DataFrame:
 
 
 def mix(docs: DataFrame, targets: Mapping[str, object], budget: float, seed: int = 17) -> DataFrame:
-    """Probability and fate of each row of ``docs``: its columns, ``probability``, ``kept``.
+    """``docs`` with ``weight`` (of a token), ``probability``, ``kept`` and ``gap`` (of its
+    cell, see :func:`rake`: above ``TOLERANCE`` where the targets cannot all hold).
 
     ``docs`` has ``doc_id``, ``tokens`` and the dimensions that ``targets`` names.  A row
     is kept if a uniform hash of ``seed`` and its ``doc_id`` is below its probability, so
@@ -121,17 +127,23 @@ def mix(docs: DataFrame, targets: Mapping[str, object], budget: float, seed: int
 
     A null level is a level of its own (a dictionary gives it nothing).  Rows without
     tokens take the probability of their cell, those of a cell without tokens get none.
+    Columns of ``docs`` that bear one of the four new names are replaced, all others stay.
     An empty table gives an empty one.
     """
     if not 0 < budget <= 1:
         raise ValueError("budget is a share of all tokens: above 0, at most 1")
     dims = list(targets)
     cells = docs.groupBy(*dims).agg(F.sum("tokens").alias("tokens"))
-    fate = stored(calibrated(rake(cells, targets), budget).select(*dims, "weight", "probability"), "fate")
-    renamed = fate.select(*[F.col(d).alias(f"cell_{d}") for d in dims], "weight", "probability")
-    same = F.lit(True)
-    for dim in dims:
-        same = same & F.col(dim).eqNullSafe(F.col(f"cell_{dim}"))
-    chance = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 11) / F.lit(float(1 << 53))
-    found = docs.join(renamed, same).drop(*[f"cell_{d}" for d in dims])
-    return found.withColumn("kept", chance < F.col("probability"))
+    fate = calibrated(rake(cells, targets), budget)
+    fate = stored(fate.select(F.struct(*dims).alias("cell"), "weight", "probability", "gap"), "fate")
+    own = [c for c in docs.columns if c not in ("weight", "probability", "kept", "gap")]
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"),
+        F.struct(*dims).alias("of_cell"), F.col("doc_id").alias("id"),
+    )
+    chance = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "id"), 11) / F.lit(float(1 << 53))
+    found = whole.join(fate, F.col("of_cell").eqNullSafe(F.col("cell")))
+    return found.select(
+        *[F.col("row").getField(c).alias(c) for c in own], "weight", "probability",
+        (chance < F.col("probability")).alias("kept"), "gap",
+    )

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .grams import grams
@@ -134,6 +134,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     labels = labels.where("doc_id is not null and label in (0, 1)")
     sample = stored(_label_sample(labels), "labelled")  # thousands of ids at most
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    # An id may stand for many rows: the bound holds for what is trained on.
+    most = F.when(F.col("label") == 1, SAMPLE[1]).otherwise(SAMPLE[0])
+    for by in (Window.partitionBy("label", F.pmod(F.xxhash64("doc_id", "text"), F.lit(64))), Window.partitionBy("label")):
+        order = by.orderBy(F.xxhash64("doc_id", "text"), "doc_id")
+        texts = texts.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most).drop("n")
     bags = texts.select("doc_id", "label", "text").mapInArrow(
         _bags, "doc_id long, label int, bucket binary, share binary"
     )

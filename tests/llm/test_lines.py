@@ -38,3 +38,15 @@ def test_odd_tables(spark):
     got = sorted(map(tuple, drop_repeated_lines(df).collect()), key=repr)
     assert got == [(2, 3, 3, ""), (2, 3, 3, ""), (None, 3, 0, "a\nb\nc")]
     assert drop_repeated_lines(df.limit(0)).count() == 0
+
+
+def test_equal_rows_and_rows_that_share_an_id(spark):
+    """All but one of equal rows are later occurrences."""
+    text = "\n".join(f"line {i}" for i in range(7))
+    rows = [(1, text)] * 40 + [(2, text), (3, "a\nb"), (3, "a\nb"), (4, None), (4, None), (5, "x\ny\nz"), (5, "x\ny\nz\nq")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((tuple(r) for r in drop_repeated_lines(df).collect()), key=repr)
+    plain = [r for r in got if r[0] != 5]
+    want = [(1, 7, 0, text)] + [(1, 7, 7, "")] * 39 + [(2, 7, 7, ""), (3, 2, 0, "a\nb"), (3, 2, 0, "a\nb"), (4, 0, 0, None), (4, 0, 0, None)]
+    assert plain == sorted(want, key=repr)
+    assert sum(r[2] for r in got if r[0] == 5) == 3  # the window that both share goes from one

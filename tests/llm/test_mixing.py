@@ -66,8 +66,11 @@ def test_probabilities_meet_the_budget(spark):
 def test_odd_rows(spark):
     rows = [(1, None, "en", "a", 5), (1, None, "en", "a", 5), (2, "s", None, "a", 0), (None, "s", "en", None, 7), (3, "t", "de", "a", 0)]
     docs = spark.createDataFrame(rows, SCHEMA).withColumn("cell", F.lit("x")).withColumn("fitted", F.lit(1))
+    docs = docs.withColumn("cell_source", F.lit(2)).withColumn("row", F.lit(3)).withColumn("a.b", F.lit(4))
     got = mix(docs, {"source": 0.5, "lang": 1.0, "topic": 0.0}, 1.0)
-    assert got.columns == [*docs.columns, "weight", "probability", "kept"]
+    assert got.columns == [*docs.columns, "weight", "probability", "kept", "gap"]
+    again = mix(docs.withColumn("weight", F.lit("w")).withColumn("kept", F.lit("k")), {"source": 0.5}, 1.0)
+    assert again.columns == got.columns and again.schema["kept"].dataType.simpleString() == "boolean"
     kept = {(r.doc_id, r.kept) for r in got.collect()}
     assert got.count() == 5 and (1, True) in kept and (None, True) in kept and (3, True) not in kept
     assert mix(docs.limit(0), {"source": 0.5}, 0.5).count() == 0
@@ -79,3 +82,15 @@ def test_token_counts(spark):
     texts = [(None, 0), ("", 0), ("  ", 0), ("a", 1), (" a\tb\n c\x0bd  ", 4), ("a\xa0b", 1)]
     df = spark.createDataFrame(texts, "text string, n int")
     assert all(r.n == r.m for r in df.withColumn("m", n_tokens(F.col("text"))).collect())
+
+
+def test_targets_that_cannot_hold_are_told(spark, monkeypatch):
+    """Source a holds all of language x, so their targets contradict each other."""
+    monkeypatch.setattr(mixing, "MOST_JOBS", 2)
+    rows = [(1, "a", "x", "t", 10), (2, "b", "y", "t", 10)]
+    targets = {"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.2, "y": 0.8}}
+    with pytest.warns(UserWarning, match="missed"):
+        got = mix(spark.createDataFrame(rows, SCHEMA), targets, 1.0).collect()
+    assert all(r.gap == pytest.approx(0.7) for r in got)
+    held = mix(spark.createDataFrame(rows, SCHEMA), {"lang": {"x": 0.2, "y": 0.8}}, 1.0).collect()
+    assert all(r.gap <= mixing.TOLERANCE for r in held)

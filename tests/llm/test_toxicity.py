@@ -1,6 +1,7 @@
 """Toxicity: held-out accuracy on planted words, misspellings and odd rows."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from scourline.llm import toxicity as tox
@@ -61,3 +62,27 @@ def test_labels_of_one_kind_or_none(spark, rows):
         given = spark.createDataFrame(labels, "doc_id long, label int")
         got = tox.toxicity(docs, *tox.fit(docs, given)).collect()
         assert {round(r.score) for r in got} == {value}
+
+
+def test_the_bound_holds_for_rows(spark, rows, monkeypatch):
+    """An id on many rows does not lift the number of bags that are trained on."""
+    monkeypatch.setattr(tox, "SAMPLE", {0: 20, 1: 10})
+    real = tox._trained
+    monkeypatch.setattr(tox, "_trained", lambda prior: _counting(real(prior)))
+    many = [(i, f"{t} {k}") for i, t, _ in rows[:60] for k in range(9)]
+    labels = [(i, t) for i, _, t in rows[:60]]
+    docs = spark.createDataFrame(many, "doc_id long, text string")
+    _, bias = tox.fit(docs, spark.createDataFrame(labels, "doc_id long, label int"))
+    assert bias == 30
+
+
+def _counting(learn):
+    """Passes on the number of rows in place of the bias: all is well with 30 of them."""
+
+    def counted(batches):
+        batches = list(batches)
+        for row in learn(iter(batches)):
+            n = float(sum(b.num_rows for b in batches))
+            yield row.set_column(1, "bias", pa.array([n]))
+
+    return counted

@@ -49,7 +49,31 @@ def test_odd_vectors(spark):
     df = spark.createDataFrame(rows, SCHEMA).withColumn("row", F.lit(1)).withColumn("rank", F.lit("x"))
     got = sorted(tuple(r) for r in nearest(df, df).collect())
     assert got == [
-        (1, 1, 2, 1.0), (1, 2, 10, 0.0), (2, 1, 1, 1.0), (2, 2, 10, 0.0),
-        (10, 1, 1, 0.0), (10, 2, 2, 0.0),
+        (1, 1, 2, 1.0), (1, 2, 2, 1.0), (1, 3, 10, 0.0), (2, 1, 1, 1.0), (2, 2, 2, 1.0), (2, 3, 10, 0.0),
+        (10, 1, 1, 0.0), (10, 2, 2, 0.0), (10, 3, 2, 0.0),
     ]
     assert nearest(df.limit(0), df).count() == 0 and nearest(df, df.limit(0)).count() == 0
+
+
+def test_rows_that_share_an_id(spark, monkeypatch):
+    """Each row is a candidate and a query of its own, equal rows as candidates too."""
+    monkeypatch.setattr(vectors, "CANDIDATE_BLOCK", 16)
+    random = np.random.default_rng(8)
+    rows = [(i % 40, random.normal(size=4).astype(np.float32).tolist()) for i in range(160)]
+    rows += [(1, [0.0, 1.0, 0.0, 0.0]), (1, [1.0, 0.125, 0.0, 0.0])] + [(7, [1.0, 0.0, 0.0, 1.0])] * 9
+    got = nearest(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([*rows, (99, [1.0, 0.0, 0.0, 0.0])], SCHEMA))
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, round(r.score, 9)))
+    unit = np.array([r[1] for r in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    want = {}
+    for query in {(i, tuple(v)) for i, v in rows} | {(99, (1.0, 0.0, 0.0, 0.0))}:
+        score = np.round(unit @ (np.array(query[1]) / np.linalg.norm(query[1])), 9)
+        others = [(-s, i) for k, (s, (i, v)) in enumerate(zip(score, rows))]
+        if query[0] != 99:
+            others.remove((-score[rows.index((query[0], list(query[1])))], query[0]))
+        best = sorted(others)[:5]
+        want.setdefault(query[0], []).extend((k + 1, i, -s) for k, (s, i) in enumerate(best))
+    assert {q: sorted(v) for q, v in found.items()} == {q: sorted(v) for q, v in want.items()}
+    assert (1, 1, round(1 / (1 + 0.125**2) ** 0.5, 9)) in found[99] or found[99][0][2] > 0.99
