@@ -630,6 +630,16 @@ def impute_mode_tie(spark, sf_dir):
     return sc.impute_missing(table(spark, sf_dir, "nation").select("n_nationkey", tied.alias("tied")))
 
 
+SKEWED = """case when l_orderkey % 10 = 0 then null when l_linenumber = 1 then 'usual'
+    else 'note ' || l_orderkey || '-' || l_linenumber end"""
+
+
+def impute_mode_skewed(spark, sf_dir):
+    """One frequent value among as many others as there are rows."""
+    notes = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{SKEWED} as note")
+    return sc.impute_missing(notes)
+
+
 def standardize_many(spark, sf_dir):
     first = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("The Key"))
     second = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("the-key"))
@@ -684,7 +694,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         csv_roundtrip, csv_export_by_year, csv_export_pipeline, csv_lines,
         csv_repeated_delimiters, csv_keep_first_by_key, csv_roundtrip_text,
         range_report_single, plausible_year, enforce_blank_column, export_frame,
-        impute_mode_tie, standardize_many, strict_clean_nan, mapping_join_large,
+        impute_mode_tie, impute_mode_skewed, standardize_many, strict_clean_nan, mapping_join_large,
     ]
     found = {query.__name__: query for query in listed}
     if corpus:
@@ -982,6 +992,10 @@ def oracle_sql() -> dict[str, str]:
         "export_frame": f"select * from ({dirty_sql('row_id', 'salary_currency', 'remote_ratio')}) d",
         "impute_mode_tie": """select n_nationkey, case when n_nationkey >= 6 then 'a'
             else 'b' end as tied from nation""",
+        "impute_mode_skewed": f"""with d as (select l_orderkey, l_linenumber, {SKEWED} as note
+            from lineitem)
+            select l_orderkey, l_linenumber, coalesce(note, {_mode_sql("note", "d")}) as note
+            from d""",
         "standardize_many": """select n_nationkey as the_key from nation
             union all select r_regionkey from region""",
         "strict_clean_nan": _rounded_sql(

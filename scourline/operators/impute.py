@@ -2,7 +2,8 @@
 
 All statistics of a table are found before one projection fills every column: one
 aggregation for counts, means and majorities, the exact quantile search for medians,
-and one grouped count for the modes.  Columns without a null are not looked at
+and one grouped count for the modes, but for columns with very many values where a sketch of
+the frequent ones and a count of those settle it.  Columns without a null are not looked at
 again, and constants need no statistics at all.
 """
 
@@ -20,9 +21,13 @@ from ..functions.columns import col, quoted
 from ..functions.columns import cols as columns_of
 from ..functions.levels import is_categorical, is_ordered, level_ordinal, levels_of
 from ..functions.levels import with_levels
+from .heavy import most_frequent
 from .quantiles import exact_quantiles
 from .schema import require_columns
 
+#: Columns with more distinct values than about this have their frequent ones sketched.
+MANY_VALUES = 10_000
+
 
 @dataclass(frozen=True)
 class NumMedian:
@@ -172,8 +177,11 @@ def _fills(df: DataFrame, methods: dict, known: Mapping[str, float]) -> dict:
             stats.append(f"avg(CAST({value} AS DOUBLE)) AS mean{i}")
         elif isinstance(methods[name], BoolMajority):
             stats.append(f"count_if({value}) AS true{i}")
+        elif isinstance(methods[name], CatMode) and not is_categorical(df.schema[name]):
+            stats.append(f"approx_count_distinct({value}, 0.05) AS distinct{i}")
     row = df.selectExpr(*stats).first()
-    medians, modes = [], []
+    row = row.asDict()
+    medians, modes, wide = [], [], []
     for i, name in enumerate(searched):
         seen, method = row[f"seen{i}"], methods[name]
         if row[f"nulls{i}"] == 0 or seen == 0:
@@ -186,12 +194,16 @@ def _fills(df: DataFrame, methods: dict, known: Mapping[str, float]) -> dict:
             fills[name] = known[name]
         elif isinstance(method, NumMedian):
             medians.append(name)
+        elif row.get(f"distinct{i}", 0) > MANY_VALUES:
+            wide.append(name)
         else:
             modes.append(name)
     for name, found in exact_quantiles(df, {n: [0.5] for n in medians}).items():
         # NaN is a value that has no place in an order: it makes the median NaN.
         fills[name] = float("nan") if found.nans else found.values[0]
-    fills.update(_modes(df, modes))
+    settled = {name: min(values) for name, values in most_frequent(df, wide).items()} if wide else {}
+    fills.update(settled)
+    fills.update(_modes(df, [*modes, *(name for name in wide if name not in settled)]))
     return fills
 
 

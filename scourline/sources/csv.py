@@ -294,15 +294,16 @@ def _as_given(raw: DataFrame, schema) -> DataFrame:
 def _squeezed(text: Column, delim: str, quote: str) -> Column:
     """One delimiter for each run of them outside quotes, none at the ends."""
     d, q = f"(?:{re.escape(delim)})", re.escape(quote)
-    plain = f"(?:(?!{d})[^{q}])+" if quote else f"(?:(?!{d}).)+"
-    parts = f"{q}[^{q}]*{q}?|{plain}|{d}+" if quote else f"{plain}|{d}+"
-    found = F.regexp_extract_all(text, F.lit(f"(?s){parts}"), F.lit(0))
-    run = lambda part: part.startswith(delim)
-    found = F.transform(found, lambda part: F.when(run(part), F.lit(delim)).otherwise(part))
-    first = F.when(run(F.get(found, F.lit(0))), 2).otherwise(1)
-    last = F.when(run(F.element_at(found, -1)), 1).otherwise(0)
-    length = F.greatest(F.size(found) - first + 1 - last, F.lit(0))
-    return F.when(text == "", text).otherwise(F.array_join(F.slice(found, first, length), ""))
+    plain = f"(?:(?!{d})[^{q}])++" if quote else f"(?:(?!{d}).)++"
+    parts = f"(?:{q}[^{q}]*+{q}?|{plain})++" if quote else plain
+    # Each match is a field and the run behind it, which becomes one delimiter.
+    one = delim.replace("\\", "\\\\").replace("$", "\\$")
+    begun = F.regexp_replace(text, f"^{d}++", "")
+    single = F.regexp_replace(begun, f"(?s)\\G({parts}){d}++", "$1" + one)
+    # What is left of a run at the end is outside quotes if it ends the last match.
+    open_end = F.regexp_replace(single, f"(?s)\\G(?:{parts})(?:{d}|$)", "") == ""
+    cut = F.substring(single, F.lit(1), F.length(single) - len(delim))
+    return F.when(open_end & single.endswith(delim), cut).otherwise(single)
 
 
 def _file_names(spark: SparkSession, source: str, options: dict) -> list[str]:

@@ -126,3 +126,38 @@ def test_ties_of_modes(spark):
     assert one(spark, values, "string", cat_method=sc.CatMode())[1][2] == "a"
     levels = one(spark, values, "string", ["c", "b", "a"], cat_method=sc.CatMode())
     assert levels[1][2] == "b"
+
+
+def test_modes_among_very_many_values(spark, monkeypatch):
+    """Sketched candidates settle skewed columns; single and tied values are counted in full."""
+    from scourline.operators import heavy, impute
+
+    monkeypatch.setattr(impute, "MANY_VALUES", 50)
+    monkeypatch.setattr(heavy, "TRACKED", 256)
+    rows = []
+    for i in range(6000):
+        skewed = "often" if i % 20 == 0 else f"v{i}"
+        tied = ["b", "a"][i % 2] if i % 10 < 2 else f"w{i}"
+        few = f"x{i % 7}" if i % 7 else "x1"
+        rows.append((skewed if i % 3 else None, tied if i % 11 else None, f"u{i // 2}" if i % 13 else None, few if i % 5 else None))
+    df = spark.createDataFrame(rows, "skewed string, tied string, pairs string, few string").repartition(5)
+
+    def mode(k):
+        seen = {}
+        for r in rows:
+            if r[k] is not None:
+                seen[r[k]] = seen.get(r[k], 0) + 1
+        most = max(seen.values())
+        return min(v for v, n in seen.items() if n == most)
+
+    settled = heavy.most_frequent(df, df.columns)
+    assert settled["skewed"] == ["often"] and min(settled["tied"]) == mode(1) and "pairs" not in settled
+    assert heavy.most_frequent(df.where("false"), df.columns) == {}
+    filled = sc.impute_missing(df.withColumn("at", F.monotonically_increasing_id()))
+    for k, name in enumerate(df.columns):
+        got = filled.groupBy(name).count().collect()
+        want, usual = {}, mode(k)
+        for r in rows:
+            v = usual if r[k] is None else r[k]
+            want[v] = want.get(v, 0) + 1
+        assert {r[name]: r["count"] for r in got} == want
