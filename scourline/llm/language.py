@@ -25,7 +25,7 @@ LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
 SIZES, BITS = (3,), 16
 SAMPLE = 800  # the most texts of a language that the trigrams are learned from
-STEP_BITS = 16  # of the hash by which those are chosen
+STEP_BITS = 12  # of the hash by which those are chosen
 SMOOTH = 0.1
 OVERLAP = 6.0  # a trigram shares most of its letters with its neighbours
 HOST_WEIGHT, SUFFIX_WEIGHT, DECLARED_WEIGHT = 5.0, 20.0, 1.0
