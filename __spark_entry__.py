@@ -19,6 +19,7 @@ from scourline.functions import reference_values as ref
 from scourline.functions import snake_case
 from scourline.functions.levels import level_ordinal, levels_of
 from scourline.sources.scratch import scratch_root
+from scourline.streaming import keep_first_stream
 
 # The corpus operators are a package of their own; all else works without it.
 try:
@@ -268,6 +269,15 @@ def dedup_protected_keys(spark, sf_dir):
     )
 
 
+def dedup_protected_both(spark, sf_dir):
+    """A condition and a table of keys protect at once."""
+    urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    return sc.drop_all(
+        _lines(spark, sf_dir), LINE_KEY, protect=F.col("l_returnflag") == "R",
+        protect_keys=urgent.select(F.col("o_orderkey").alias("l_orderkey")),
+    )
+
+
 DEDUP_COLUMNS = ["l_linenumber", "l_quantity", "l_discount", "l_returnflag"]
 
 
@@ -630,6 +640,59 @@ def impute_mode_tie(spark, sf_dir):
     return sc.impute_missing(table(spark, sf_dir, "nation").select("n_nationkey", tied.alias("tied")))
 
 
+KNOWN_RATES = """select work_year as year, salary_currency as currency,
+    max(salary) / 100000 as rate from ({}) k
+    where work_year in (2020, 2022) and salary_currency is not null group by 1, 2"""
+
+
+def currency_as_of(spark, sf_dir):
+    """Rates of two years only; the others take the last one before."""
+    df = dirty_salaries(spark, sf_dir, *USD_COLUMNS)
+    rates = dirty_salaries(spark, sf_dir, "work_year", "salary_currency", "salary")
+    rates = rates.where("work_year in (2020, 2022) and salary_currency is not null")
+    rates = rates.groupBy(F.col("work_year").alias("year"), F.col("salary_currency").alias("currency"))
+    rates = rates.agg((F.max("salary") / 100000).alias("rate"))
+    return sc.convert_currency_to_usd(df, exchange_rates=rates, as_of_year=True)
+
+
+RANGE_RULES = """select p_partkey as rule,
+    case when p_partkey % 3 = 0 then 'l_discount' else 'l_quantity' end as variable,
+    case p_partkey % 2 when 0 then 'A' else 'N' end as l_returnflag,
+    case when p_partkey % 3 = 0 then cast(p_size as double) / 600
+        when p_partkey % 7 <> 0 then cast(p_size as double) end as low,
+    case when p_partkey % 3 = 0 then cast(p_size as double) / 500
+        else cast(p_size + p_partkey % 30 as double) end as high
+    from part"""
+
+
+def range_rules_table(spark, sf_dir):
+    """Overlapping range rules, one for each part, over the lines of a return flag."""
+    table(spark, sf_dir, "part").createOrReplaceTempView("part")
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_discount", "l_quantity")
+    return sc.validate_range_table(lines, spark.sql(RANGE_RULES), by=["l_returnflag"])
+
+
+def stream_keep_first(spark, sf_dir):
+    """The events as a stream of several batches: the first of each user and kind."""
+    rows, marks = _fresh_folder(spark, "events"), _fresh_folder(spark, "events-state")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    for part in range(3):
+        third = events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part)
+        third.coalesce(1).write.mode("append").parquet(rows)
+    last = events.agg(F.max("ts")).first()[0]
+    span = events.agg(F.max("ts").cast("long") - F.min("ts").cast("long")).first()[0]
+    flush = events.limit(1).withColumn("ts", F.lit(last) + F.expr(f"interval '{10 * span + 10}' second"))
+    flush.withColumn("event_type", F.lit("flush")).coalesce(1).write.mode("append").parquet(rows)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(rows)
+    first = keep_first_stream(stream, ["user_id", "event_type"], "ts", f"{span + 1} seconds", ["event_id"])
+    query = first.writeStream.format("parquet").option("path", f"{marks}/out").option(
+        "checkpointLocation", f"{marks}/state"
+    ).trigger(availableNow=True).start()
+    query.awaitTermination()
+    found = spark.read.schema(events.schema).parquet(f"{marks}/out")
+    return found.where("event_type <> 'flush'").select("user_id", "event_type", "event_id")
+
+
 SKEWED = """case when l_orderkey % 10 = 0 then null when l_linenumber = 1 then 'usual'
     else 'note ' || l_orderkey || '-' || l_linenumber end"""
 
@@ -679,7 +742,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         missing_columns_report, standardize_names, snake_case_values,
         enforce_numeric, enforce_decimal, enforce_categorical, enforce_text,
         type_profile,
-        dedup_keep_first, dedup_drop_all, dedup_keep_first_protected,
+        dedup_keep_first, dedup_drop_all, dedup_keep_first_protected, dedup_protected_both,
         dedup_drop_all_protected, dedup_protected_keys, dedup_whole_rows,
         dedup_drop_whole_rows,
         norm_employment, norm_job_title, norm_country, norm_region,
@@ -694,7 +757,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         csv_roundtrip, csv_export_by_year, csv_export_pipeline, csv_lines,
         csv_repeated_delimiters, csv_keep_first_by_key, csv_roundtrip_text,
         range_report_single, plausible_year, enforce_blank_column, export_frame,
-        impute_mode_tie, impute_mode_skewed, standardize_many, strict_clean_nan, mapping_join_large,
+        impute_mode_tie, impute_mode_skewed, standardize_many,
+        currency_as_of, range_rules_table, stream_keep_first, strict_clean_nan, mapping_join_large,
     ]
     found = {query.__name__: query for query in listed}
     if corpus:
@@ -826,6 +890,8 @@ def oracle_sql() -> dict[str, str]:
         "dedup_drop_all_protected": f"{lines} qualify {single} or l_returnflag = 'R'",
         "dedup_protected_keys": f"""{lines} qualify {first} or l_orderkey in
             (select o_orderkey from orders where o_orderpriority = '1-URGENT')""",
+        "dedup_protected_both": f"""{lines} qualify {single} or l_returnflag = 'R' or l_orderkey in
+            (select o_orderkey from orders where o_orderpriority = '1-URGENT')""",
         "dedup_whole_rows": f"select distinct {', '.join(DEDUP_COLUMNS)} from lineitem",
         "dedup_drop_whole_rows": """select l_partkey, l_quantity, l_tax from lineitem
             group by all having count(*) = 1""",
@@ -992,6 +1058,24 @@ def oracle_sql() -> dict[str, str]:
         "export_frame": f"select * from ({dirty_sql('row_id', 'salary_currency', 'remote_ratio')}) d",
         "impute_mode_tie": """select n_nationkey, case when n_nationkey >= 6 then 'a'
             else 'b' end as tied from nation""",
+        "currency_as_of": f"""with d as ({dirty_sql(*USD_COLUMNS)}),
+            r as ({KNOWN_RATES.format(dirty_sql("work_year", "salary_currency", "salary"))})
+            select d.*, salary * rate as salary_in_usd from d asof left join r
+            on d.salary_currency = r.currency and d.work_year >= r.year""",
+        "range_rules_table": f"""with r as ({RANGE_RULES}),
+            v as (select l_returnflag, 'l_discount' as variable, l_discount as value from lineitem
+                union all select l_returnflag, 'l_quantity', l_quantity from lineitem),
+            c as (select l_returnflag, variable, value, count(*) as n from v
+                where value is not null group by all),
+            inside as (select rule, sum(n) as n_inside from r join c using (l_returnflag, variable)
+                where (low is null or value >= low) and (high is null or value <= high) group by 1),
+            whole as (select l_returnflag, variable, sum(n) as n_values from c group by all)
+            select rule, variable, cast(coalesce(n_values, 0) as bigint) as n_values,
+                cast(coalesce(n_inside, 0) as bigint) as n_inside,
+                coalesce(n_values, 0) = coalesce(n_inside, 0) as valid_mask
+            from r left join whole using (l_returnflag, variable) left join inside using (rule)""",
+        "stream_keep_first": """select user_id, event_type, event_id from events
+            qualify row_number() over (partition by user_id, event_type order by ts, event_id) = 1""",
         "impute_mode_skewed": f"""with d as (select l_orderkey, l_linenumber, {SKEWED} as note
             from lineitem)
             select l_orderkey, l_linenumber, coalesce(note, {_mode_sql("note", "d")}) as note

@@ -27,6 +27,7 @@ from .quality import (
     clamp,
     plausible_year,
     validate_range,
+    validate_range_table,
     validate_salary_ranges,
     winsor_bounds,
     winsorize,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col, double_literal, quoted
+from ..functions.intervals import interval_join
 from ..functions.reference_values import (
     COMPANY_SIZES,
     EMPLOYMENT_TYPES,
@@ -43,6 +44,40 @@ def validate_range(
     return df.agg(*masks).select(report).select("check.*")
 
 
+def validate_range_table(
+    df: DataFrame, rules: DataFrame, by: Sequence[str] = ()
+) -> DataFrame:
+    """Range rules held in a table: how many values each rule holds for, and how many not.
+
+    ``rules`` has ``rule`` (unique), ``variable`` (a numeric column of ``df``), ``low`` and
+    ``high`` (null: no bound), and the columns ``by``, which restrict a rule to the rows of
+    that group.  Returns ``rule``, ``variable``, ``n_values`` (non-null values of its group),
+    ``n_inside`` and ``valid_mask`` (all inside; true without values).  NaN lies in no range.
+
+    Values meet the rules by an interval join, so many overlapping rules cost no product.
+    """
+    require_columns(rules, "rule", "variable", "low", "high", *by)
+    require_columns(df, *by)
+    names = [r[0] for r in rules.select("variable").distinct().collect()]
+    require_columns(df, *names)
+    keys = ["variable", *by]
+    values = df.select(*[col(c) for c in by], *[col(n).cast("double").alias(n) for n in names])
+    long = values.unpivot([col(c) for c in by], [col(n) for n in names], "variable", "value")
+    # Equal values are counted first: rules see each value of a group once.
+    counted = long.where(F.col("value").isNotNull()).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+    bounds = rules.select("rule", *keys, F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high"))
+    met = interval_join(counted, bounds, "value", "low", "high", on=keys)
+    inside = met.groupBy("rule").agg(F.sum("n").alias("n_inside"))
+    whole = counted.groupBy(*keys).agg(F.sum("n").alias("n_values"))
+    return (
+        rules.select("rule", *keys)
+        .join(whole, keys, "left")
+        .join(inside, "rule", "left")
+        .fillna(0, ["n_values", "n_inside"])
+        .select("rule", "variable", "n_values", "n_inside", (F.col("n_values") == F.col("n_inside")).alias("valid_mask"))
+    )
+
+
 def validate_salary_ranges(df: DataFrame) -> DataFrame:
     """The six rules of the salary table, as :func:`validate_range` reports them."""
     salary_table(df)

@@ -1,4 +1,11 @@
-from scourline.streaming import clean_stream
+import datetime
+import random
+import time
+
+from pyspark.sql import functions as F
+
+import scourline as sc
+from scourline.streaming import clean_stream, keep_first_stream
 
 
 def test_row_local_steps_run_on_a_stream(spark, tmp_path):
@@ -24,3 +31,36 @@ def test_row_local_steps_run_on_a_stream(spark, tmp_path):
         (1, "XYZ", 2022, "ZZ", None, None, "XL", None),
         (100, "EUR", 2022, "Full-time", "FR", 50.0, "S", 95.0),
     ]
+
+
+def run_in_batches(spark, tmp_path, parts, schema, transform):
+    """Each part is a file of its own, and each file a batch."""
+    for i, part in enumerate(parts):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(0.01)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    query = (
+        transform(stream).writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def test_first_rows_of_a_stream_are_those_of_the_batch(spark, tmp_path):
+    schema = "k string, g int, at timestamp, tie int, v double"
+    choose = random.Random(3)
+    start = datetime.datetime(2024, 1, 1)
+    rows = [
+        (choose.choice(["a", "b", None, "c"]), choose.choice([1, None]), start + datetime.timedelta(minutes=m), choose.choice([None, 1, 2]), float(i))
+        for i, m in enumerate(choose.randrange(0, 600) for _ in range(80))
+    ]
+    rows.sort(key=lambda r: r[2] + datetime.timedelta(minutes=choose.randrange(0, 50)))  # out of order by less than an hour
+    parts = [rows[i : i + 20] for i in range(0, 80, 20)]
+    late = ("a", 1, start - datetime.timedelta(days=9), 0, -1.0)
+    end = ("end", 0, start + datetime.timedelta(days=9), 0, 0.0)
+    parts += [[late, ("new", 5, start - datetime.timedelta(days=9), 0, -2.0)], [end, (None, 1, None, 0, -3.0)]]
+    found = run_in_batches(spark, tmp_path, parts, schema, lambda s: keep_first_stream(s, ["k", "g"], "at", "1 hour", ["tie", "v"]))
+    want = sc.keep_first(spark.createDataFrame(rows, schema), ["k", "g"], order_by=["at", F.asc_nulls_first("tie"), "v"])
+    assert sorted(map(tuple, found.where("k is null or k <> 'end'").collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
