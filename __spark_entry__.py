@@ -25,7 +25,9 @@ from scourline.streaming import keep_first_stream
 try:
     import corpus_pipeline
     from scourline.llm import entries as corpus
-except ModuleNotFoundError:
+except ModuleNotFoundError as error:
+    if error.name != "corpus_pipeline" and not error.name.startswith("scourline.llm"):
+        raise
     corpus = None
 
 # --- Input --------------------------------------------------------------------
