@@ -705,6 +705,63 @@ def impute_mode_skewed(spark, sf_dir):
     return sc.impute_missing(notes)
 
 
+CELLS = ("salary_currency", "remote_ratio", "is_lead")
+CELL_KEYS = """select cast(floor(row_id / 40) as bigint) as batch, salary_currency,
+    cast(remote_ratio as string) as remote_ratio, cast(is_lead as string) as is_lead from ({}) k"""
+
+
+def cleaning_diff(spark, sf_dir):
+    """Cells that a clean changed: rows dropped and currencies filled in batches of orders."""
+    before = dirty_salaries(spark, sf_dir, "row_id", *CELLS)
+    before = before.withColumn("batch", F.floor(F.col("row_id") / 40)).drop("row_id")
+    once = sc.drop_all(before, ["batch", *CELLS])
+    after = sc.impute_missing(once, cols=["salary_currency"], cat_method=sc.CatConstant("none"))
+    return sc.cleaning_diff(before, after, ["batch"])
+
+
+CUBE_DIMS = ("work_year", "employment_type", "salary_currency")
+CUBE_VALUES = ("row_id", "job_title", "remote_ratio", "is_lead")
+
+
+def quality_cube(spark, sf_dir):
+    """Nulls and distinct values of four columns in all cells of three dimensions."""
+    return sc.quality_cube(dirty_salaries(spark, sf_dir, *CUBE_DIMS, *CUBE_VALUES), CUBE_DIMS)
+
+
+def type_profile_incremental(spark, sf_dir):
+    """The profile of a table that grows in three steps; each reads the new files only."""
+    rows, state = _fresh_folder(spark, "growing"), _fresh_folder(spark, "profile")
+    raw = dirty_salaries(spark, sf_dir, "row_id", "raw_amount", "job_title", "salary_currency")
+    for step in range(3):
+        part = raw.where(F.pmod(F.xxhash64("row_id"), F.lit(3)) == step).drop("row_id")
+        part.write.mode("append").parquet(rows)
+        sc.grow_profile(spark, rows, state)
+    return sc.stored_profile(spark, state)
+
+
+JSON_NOTE = """case when o_orderkey % 5 = 0 then cast(o_custkey as string)
+    when o_orderkey % 5 < 3 then 'note "' || o_orderkey || chr(92) || '"' end"""
+
+
+def json_line_types(spark, sf_dir):
+    """Orders as JSON records: fields that are missing, nested or of mixed types."""
+    number = F.col("o_orderkey") % 5 == 0
+    orders = table(spark, sf_dir, "orders").withColumn("note", F.expr(JSON_NOTE))
+    record = F.struct(
+        "o_orderkey", "o_totalprice", (F.col("o_orderkey") % 2 == 0).alias("even"),
+        F.struct(
+            "o_custkey",
+            F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderpriority")).alias("priority"),
+        ).alias("who"),
+    )
+    # A note is a bare number in one record of five, a text or missing in the others.
+    text = F.to_json(F.struct("note"))
+    note = F.when(number, F.concat(F.lit('{"note":'), "note", F.lit("}"))).otherwise(text)
+    line = F.concat(F.regexp_replace(F.to_json(record), r"\}$", ","), F.regexp_replace(note, r"^\{", ""))
+    line = F.when(F.col("note").isNull(), F.to_json(record)).otherwise(line)
+    return sc.import_json_lines(orders.select(line.alias("line")))
+
+
 def standardize_many(spark, sf_dir):
     first = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("The Key"))
     second = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("the-key"))
@@ -760,6 +817,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         csv_repeated_delimiters, csv_keep_first_by_key, csv_roundtrip_text,
         range_report_single, plausible_year, enforce_blank_column, export_frame,
         impute_mode_tie, impute_mode_skewed, standardize_many,
+        cleaning_diff, quality_cube, type_profile_incremental, json_line_types,
         currency_as_of, range_rules_table, stream_keep_first, strict_clean_nan, mapping_join_large,
     ]
     found = {query.__name__: query for query in listed}
@@ -839,6 +897,11 @@ def oracle_sql() -> dict[str, str]:
         return f"""select '{column}' as "column", {found} as nulls_before,
             {after} as nulls_after, '{method}' as method from d"""
 
+    before = CELL_KEYS.format(dirty_sql("row_id", *CELLS))
+    cells, whole_rows = ", ".join(CELLS), ", ".join(("batch", *CELLS))
+    cell_rows = " union all ".join(
+        f"select batch, '{c}' as \"column\", {c} as value, n_before, n_after from sides" for c in CELLS
+    )
     light = f"""with d as (select distinct * from ({dirty_sql(*LIGHT_COLUMNS)}) x)
         select work_year, employment_type,
             coalesce(salary_currency, {_mode_sql("salary_currency", "d")}) as salary_currency,
@@ -1076,6 +1139,31 @@ def oracle_sql() -> dict[str, str]:
                 cast(coalesce(n_inside, 0) as bigint) as n_inside,
                 coalesce(n_values, 0) = coalesce(n_inside, 0) as valid_mask
             from r left join whole using (l_returnflag, variable) left join inside using (rule)""",
+        "cleaning_diff": f"""with b as ({before}),
+            a as (select batch, coalesce(salary_currency, 'none') as salary_currency,
+                remote_ratio, is_lead from b
+                qualify count(*) over (partition by {whole_rows}) = 1),
+            sides as (select *, 1 as n_before, 0 as n_after from b
+                union all select *, 0, 1 from a),
+            cells as (select batch, "column", value, sum(n_before) as n_before, sum(n_after) as n_after
+                from ({cell_rows}) c group by all),
+            whole as (select {whole_rows}, sum(n_before) - sum(n_after) as net from sides group by all),
+            found as (select * from cells where n_before <> n_after
+                union all select batch, null, null, sum(greatest(net, 0)), sum(greatest(-net, 0))
+                from whole group by 1 having count(*) filter (where net <> 0) > 0)
+            select batch, "column", value, cast(n_before as bigint) as n_before,
+                cast(n_after as bigint) as n_after from found""",
+        "quality_cube": " union all ".join(
+            f"""select {", ".join(CUBE_DIMS)}, cast(grouping_id({", ".join(CUBE_DIMS)}) as int) as level,
+            '{c}' as "column", count(*) as n_rows, count(*) - count({c}) as n_nulls,
+            count(distinct {c}) as n_distinct from ({dirty_sql(*CUBE_DIMS, *CUBE_VALUES)}) d
+            group by cube ({", ".join(CUBE_DIMS)})"""
+            for c in CUBE_VALUES
+        ),
+        "json_line_types": f"""select o_orderkey, o_totalprice, o_orderkey % 2 = 0 as even,
+            o_custkey as who_o_custkey,
+            case when o_orderkey % 3 > 0 then o_orderpriority end as who_priority,
+            {JSON_NOTE} as note from orders""",
         "stream_keep_first": """select user_id, event_type, event_id from events
             qualify row_number() over (partition by user_id, event_type order by ts, event_id) = 1""",
         "impute_mode_skewed": f"""with d as (select l_orderkey, l_linenumber, {SKEWED} as note
@@ -1098,6 +1186,7 @@ def oracle_sql() -> dict[str, str]:
             from (select o_orderkey, {CUSTOMER} as title from orders) o
             left join customer on lower(o.title) = 'cust ' || c_custkey""",
     }
+    found["type_profile_incremental"] = found["type_profile"]
     if corpus:
         found |= corpus.ORACLES
         if corpus_pipeline.ORACLE_SQL:

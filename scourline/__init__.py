@@ -2,6 +2,7 @@
 
 from .operators import *  # noqa: F401,F403
 from .plans import export_pipeline, pipeline
-from .sources import discard_written, exchange_rates, export_cleaned, import_data, import_lines
+from .sources import discard_written, exchange_rates, export_cleaned, import_data
+from .sources import import_json_lines, import_lines
 
 __all__ = [name for name in dir() if not name.startswith("_")]

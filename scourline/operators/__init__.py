@@ -1,7 +1,10 @@
 """DataFrame -> DataFrame cleaning operators."""
 
+from .cube import quality_cube
 from .currency import check_usd, convert_currency_to_usd
 from .dedup import deduplicate_rows, drop_all, keep_first
+from .diff import cleaning_diff
+from .growing import grow_profile, stored_profile
 from .impute import (
     BoolMajority,
     CatConstant,

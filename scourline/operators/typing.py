@@ -84,6 +84,11 @@ def type_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     values = _stacked(df, names).groupBy("column", "value").agg(
         F.count(F.lit(1)).alias("n")
     )
+    return _profiled(values)
+
+
+def _profiled(values: DataFrame) -> DataFrame:
+    """The profile of counted values ``(column, value, n)``."""
     valid = F.col("value") != ""
     return values.groupBy("column").agg(
         F.coalesce(F.sum(F.when(valid, F.col("n"))), F.lit(0)).alias("n_valid"),
