@@ -64,3 +64,31 @@ def test_first_rows_of_a_stream_are_those_of_the_batch(spark, tmp_path):
     found = run_in_batches(spark, tmp_path, parts, schema, lambda s: keep_first_stream(s, ["k", "g"], "at", "1 hour", ["tie", "v"]))
     want = sc.keep_first(spark.createDataFrame(rows, schema), ["k", "g"], order_by=["at", F.asc_nulls_first("tie"), "v"])
     assert sorted(map(tuple, found.where("k is null or k <> 'end'").collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_whole_numbers_beside_nulls_stay_exact(spark, tmp_path):
+    """Keys that are looked at together: a null of one does not round the numbers of another."""
+    schema = "k int, at timestamp, big long, tie long, on boolean"
+    start, big = datetime.datetime(2024, 1, 1), 2**60 + 1
+    rows = [(k, start + datetime.timedelta(minutes=k % 7), None if k % 3 == 0 else big + k, None if k % 2 else big - k, [None, True, False][k % 3]) for k in range(60)]
+    later = [(k, at + datetime.timedelta(minutes=30), -1, -1, True) for k, at, *_ in rows]
+    ties = [(k, at, 0, big + 99, None) for k, at, *_ in rows]
+    end = [(None, start + datetime.timedelta(days=9), 0, 0, None)]
+    parts = [[*later, *rows[:30]], [*ties, *rows[30:]], end, [(7, start + datetime.timedelta(days=9), 1, 1, None)]]
+    for groups in (1, 16):
+        folder = tmp_path / str(groups)
+        found = run_in_batches(spark, folder, parts, schema, lambda s: keep_first_stream(s, ["k"], "at", "1 hour", ["tie"], groups))
+        assert sorted(map(tuple, found.where("k is not null").collect())) == rows
+
+
+def test_calls_of_python_do_not_grow_with_the_keys(spark, tmp_path):
+    rows = [(i % 500, datetime.datetime(2024, 1, 1, 0, i % 60), i) for i in range(2000)]
+    end = [(-1, datetime.datetime(2024, 2, 1), 0)]
+
+    def transform(stream):
+        return keep_first_stream(stream, ["k"], "at", "1 hour", ["i"], groups=8)
+
+    found = run_in_batches(spark, tmp_path, [rows, end], "k int, at timestamp, i int", transform)
+    assert found.where("k >= 0").count() == found.where("k >= 0").select("k").distinct().count() == 500
+    state = spark.read.format("statestore").load(str(tmp_path / "state"))
+    assert state.count() <= 9
