@@ -100,6 +100,47 @@ def interval_join(
     return joined.where(inside).select(*cols(points.columns), *cols(own))
 
 
+def interval_counts(
+    points: DataFrame, intervals: DataFrame, value: str, low: str, high: str, weight: str, on: Sequence[str]
+) -> DataFrame:
+    """``intervals`` with the weight of all points of their group ``on`` (``n_all``), and of
+    those that an interval holds (``n_inside``): what :func:`interval_join` finds, summed up.
+
+    No pairs are made.  A count is the difference of two running sums along the values, one
+    up to the upper bound and one below the lower.  Values and bounds, equal ones as one row,
+    are dealt by bins of about equal size; the sums of a group's bins are run through first,
+    then each bin goes on from its own start.  So neither a group nor a bin with many
+    intervals is held by one task, and the work grows with the rows of both sides.  Points
+    whose value is null count nowhere, those with NaN in ``n_all`` only.
+    """
+    first = F.coalesce(col(low).cast("double"), F.lit(float("-inf"))) + F.lit(0.0)  # no negative zero
+    last = F.coalesce(col(high).cast("double"), F.lit(float("inf"))) + F.lit(0.0)
+    bounded = intervals.withColumn("__low", first).withColumn("__high", last)
+    ends = bounded.select(*cols(on), F.explode(F.array("__low", "__high")).alias("__x"))
+    seen = points.where(col(value).isNotNull())
+    seen = seen.select(*cols(on), (col(value).cast("double") + F.lit(0.0)).alias("__x"), col(weight).alias("__n"), F.lit(False).alias("__end"))
+    both = seen.unionByName(ends.withColumn("__n", F.lit(0).cast("long")).withColumn("__end", F.lit(True)))
+    places = both.groupBy(*cols(on), "__x").agg(F.sum("__n").alias("__n"), F.max("__end").alias("__end"))
+    places = places.withColumn("__bin", _bin(F.col("__x"), _edges(places, "__x", "__x")))
+    group = Window.partitionBy(*cols(on))
+    sums = places.groupBy(*cols(on), "__bin").agg(F.sum("__n").alias("__of_bin"))
+    sums = sums.withColumn("__before", F.sum("__of_bin").over(group.orderBy("__bin")) - F.col("__of_bin"))
+    sums = sums.withColumn("__all", F.sum("__of_bin").over(group)).drop("__of_bin")
+    run = F.sum("__n").over(Window.partitionBy(*cols(on), "__bin").orderBy("__x"))
+    known = places.withColumn("__run", run).where("__end").join(sums, [*on, "__bin"])
+    upto = F.col("__before") + F.col("__run")
+    lower = known.select(*cols(on), F.col("__x").alias("__low"), (upto - F.col("__n")).alias("__below"), "__all")
+    upper = known.select(*cols(on), F.col("__x").alias("__high"), upto.alias("__upto"))
+    found = bounded.join(lower, [*on, "__low"], "left").join(upper, [*on, "__high"], "left")
+    sound = ~F.isnan("__low") & ~F.isnan("__high") & (F.col("__low") <= F.col("__high"))
+    inside = F.when(sound, F.col("__upto") - F.col("__below"))
+    return found.select(
+        *cols(intervals.columns),
+        F.coalesce("__all", F.lit(0)).alias("n_all"),
+        F.coalesce(inside, F.lit(0)).alias("n_inside"),
+    )
+
+
 def as_of(wanted: DataFrame, known: DataFrame, on: Sequence[str], at: str, values: Sequence[str]) -> DataFrame:
     """``wanted`` (``on`` and ``at``) with the ``values`` of the last row of ``known`` up to ``at``.
 

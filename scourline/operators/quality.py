@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col, double_literal, quoted
-from ..functions.intervals import interval_join
+from ..functions.intervals import interval_counts
 from ..functions.reference_values import (
     COMPANY_SIZES,
     EMPLOYMENT_TYPES,
@@ -54,7 +54,7 @@ def validate_range_table(
     that group.  Returns ``rule``, ``variable``, ``n_values`` (non-null values of its group),
     ``n_inside`` and ``valid_mask`` (all inside; true without values).  NaN lies in no range.
 
-    Values meet the rules by an interval join, so many overlapping rules cost no product.
+    Rules are counted by running sums of the values, so many overlapping rules cost no pairs.
     """
     require_columns(rules, "rule", "variable", "low", "high", *by)
     require_columns(df, *by)
@@ -66,16 +66,12 @@ def validate_range_table(
     # Equal values are counted first: rules see each value of a group once.
     counted = long.where(F.col("value").isNotNull()).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
     bounds = rules.select("rule", *keys, F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high"))
-    met = interval_join(counted, bounds, "value", "low", "high", on=keys)
-    inside = met.groupBy("rule").agg(F.sum("n").alias("n_inside"))
-    whole = counted.groupBy(*keys).agg(F.sum("n").alias("n_values"))
-    return (
-        rules.select("rule", *keys)
-        .join(whole, keys, "left")
-        .join(inside, "rule", "left")
-        .fillna(0, ["n_values", "n_inside"])
-        .select("rule", "variable", "n_values", "n_inside", (F.col("n_values") == F.col("n_inside")).alias("valid_mask"))
-    )
+    met = interval_counts(counted, bounds, "value", "low", "high", "n", on=keys)
+    # The rows of a rule that is not unique are one rule.
+    of_rule = F.when(F.col("rule").isNotNull(), F.sum("n_inside").over(Window.partitionBy("rule")))
+    return met.select(
+        "rule", "variable", F.col("n_all").alias("n_values"), F.coalesce(of_rule, F.lit(0)).alias("n_inside")
+    ).withColumn("valid_mask", F.col("n_values") == F.col("n_inside"))
 
 
 def validate_salary_ranges(df: DataFrame) -> DataFrame:

@@ -1,13 +1,14 @@
 """Interval joins and look-ups as of a date against all pairs."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 import scourline as sc
 from scourline.functions import intervals
-from scourline.functions.intervals import as_of, interval_join
+from scourline.functions.intervals import as_of, interval_counts, interval_join
 
 NAN, INF = float("nan"), float("inf")
 
@@ -75,3 +76,41 @@ def test_rates_as_of_a_year(spark):
     assert got == {1: None, 2: 15.0, 3: 20.0, 4: None, 5: None, 6: None, 7: None, 8: 20.0}
     plain = {r.i: r.salary_in_usd for r in sc.convert_currency_to_usd(df, exchange_rates=rates).collect()}
     assert plain[2] is None and plain[8] == 20.0
+
+
+@pytest.mark.parametrize("bins", [1 << 10, 8])
+def test_counts_like_all_pairs(spark, monkeypatch, bins):
+    monkeypatch.setattr(intervals, "BINS", bins)
+    r = random.Random(bins)
+    draw = lambda: r.choice([None, NAN, INF, -INF, -0.0, *[r.gauss(0, 9) for _ in range(8)], *map(float, range(-3, 4))])
+    points = [(draw(), r.choice(["a", "b", None]), r.randrange(1, 9)) for _ in range(400)]
+    ranges = [(j, draw(), draw(), r.choice(["a", "b", "c", None])) for j in range(120)]
+    ranges += [(900, 0.0, -0.0, "a"), (901, None, None, "a"), (901, None, None, "a"), (None, 1.0, None, "b")]
+    left = spark.createDataFrame(points, "v double, k string, w long")
+    right = spark.createDataFrame(ranges, "j int, low double, high double, k string")
+    got = interval_counts(left, right, "v", "low", "high", "w", ["k"])
+
+    def holds(v, low, high):
+        return v == v and (low is None or v >= low) and (high is None or v <= high)
+
+    def of(j, low, high, k):
+        group = [(v, w) for v, m, w in points if m == k and k and v is not None]
+        return j, low, high, k, sum(w for _, w in group), sum(w for v, w in group if holds(v, low, high))
+
+    assert got.columns == ["j", "low", "high", "k", "n_all", "n_inside"]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(str(of(*row)) for row in ranges)
+    assert interval_counts(left, right.where("false"), "v", "low", "high", "w", ["k"]).count() == 0
+    none = interval_counts(left.where("false"), right, "v", "low", "high", "w", ["k"])
+    assert [tuple(x) for x in none.select("n_all", "n_inside").distinct().collect()] == [(0, 0)]
+
+
+def test_rules_make_no_pairs(spark):
+    """Wide rules over many values: 200 million pairs would not end in time."""
+    df = spark.range(20_000).selectExpr("cast(id as double) as a")
+    rules = spark.range(20_000).selectExpr("id as rule", "'a' as variable", "cast(id / 4 as double) as low", "cast(19999 - id / 4 as double) as high")
+    found = sc.validate_range_table(df, rules)
+    began = time.time()
+    got = found.selectExpr("count(*)", "min(n_values)", "sum(n_inside)", "count_if(valid_mask)").first()
+    assert time.time() - began < 60
+    want = [sum(1 for _ in range(-(-i // 4), int(19999 - i / 4) + 1)) for i in range(20_000)]
+    assert tuple(got) == (20_000, 20_000, sum(want), 1)
