@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch_root, written
 from .columns import col, cols, double_literal
 
 #: Bins of the values, a power of two; an interval falls into at most 2 * log2 of them.
@@ -121,6 +122,7 @@ def interval_counts(
     seen = seen.select(*cols(on), (col(value).cast("double") + F.lit(0.0)).alias("__x"), col(weight).alias("__n"), F.lit(False).alias("__end"))
     both = seen.unionByName(ends.withColumn("__n", F.lit(0).cast("long")).withColumn("__end", F.lit(True)))
     places = both.groupBy(*cols(on), "__x").agg(F.sum("__n").alias("__n"), F.max("__end").alias("__end"))
+    places = written(places) if scratch_root(places.sparkSession) else places  # else each use reads the points again
     places = places.withColumn("__bin", _bin(F.col("__x"), _edges(places, "__x", "__x")))
     group = Window.partitionBy(*cols(on))
     sums = places.groupBy(*cols(on), "__bin").agg(F.sum("__n").alias("__of_bin"))
